@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,12 +23,29 @@ RUNTIME = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the plans rely on to a session that is already there."""
+    """Apply the settings the plans rely on to a session that is already there, and give its workers this package."""
     for k, v in RUNTIME.items():
         spark.conf.set(k, v)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, unless their PYTHONPATH has it already."""
+    root = Path(__file__).resolve().parent.parent
+    context = spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(":") or getattr(context, "_tidewell_shipped", False):
+        return
+    d = tempfile.mkdtemp(prefix="tidewell-package-")  # of the driver, which serves it to the executors
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
+    at = os.path.join(d, "tidewell.zip")
+    with zipfile.ZipFile(at, "w") as z:
+        for f in sorted(Path(__file__).resolve().parent.rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    context.addPyFile(at)
+    context._tidewell_shipped = True
+
+
 def build(app: str = "tidewell", cores: str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """A local session for tests and benchmarks."""
     b = SparkSession.builder.master(f"local[{cores}]").appName(app).config("spark.sql.shuffle.partitions", str(shuffle_partitions)).config("spark.ui.enabled", "false")
