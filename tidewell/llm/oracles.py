@@ -1,3 +1,31 @@
 """Plain SQL of the corpus queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+_P2 = """WITH rec AS (
+  SELECT c.source, s.content_id, s.final_score AS score FROM (
+    SELECT *, row_number() OVER (PARTITION BY content_id ORDER BY scored_ts DESC NULLS LAST, score_id DESC) AS k FROM score_result
+    WHERE final_score IS NOT NULL AND NOT isnan(final_score) AND final_score BETWEEN 0 AND 1) s
+  JOIN fetched_content c ON c.content_id = s.content_id WHERE s.k = 1 AND c.source IS NOT NULL),
+ranked AS (SELECT r.*, t.keep_percent, count(*) OVER (PARTITION BY r.source) AS n,
+  count(*) OVER (PARTITION BY r.source ORDER BY score DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS above
+  FROM rec r JOIN keep_target t ON t.source = r.source),
+cut AS (SELECT source, keep_percent, n, max(score) AS cutoff FROM ranked WHERE above * 100 >= keep_percent * n GROUP BY ALL)
+"""
+_LINE = r"lower(trim(regexp_replace(line, '\s+', ' ', 'g')))"
+_P4 = rf"""WITH lines AS (
+  SELECT content_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no
+  FROM fetched_content WHERE source IS NOT NULL),
+n AS (SELECT content_id, source, line, line_no, {_LINE} AS norm FROM lines),
+size AS (SELECT source, count(*) AS n_source FROM fetched_content WHERE source IS NOT NULL GROUP BY source),
+named AS (SELECT n.source, norm, count(DISTINCT content_id) AS n_rows FROM n JOIN size ON size.source = n.source WHERE norm <> ''
+  GROUP BY n.source, norm, n_source HAVING count(DISTINCT content_id) >= 5 AND count(DISTINCT content_id) * 20 >= n_source)
+"""
+
+ORACLE: dict[str, str] = {
+    "p2_found": _P2 + "SELECT content_id FROM rec JOIN cut USING (source) WHERE score >= cutoff",
+    "p2_cutoffs": _P2 + "SELECT source, keep_percent, n AS n_records, (SELECT count(*) FROM rec WHERE rec.source = cut.source AND score >= cutoff) AS n_kept, cutoff FROM cut",
+    "p4_found": _P4 + "SELECT content_id, CAST(line_no AS INT) AS line_no FROM n JOIN named USING (source, norm)",
+    "p4_lines": _P4 + "SELECT source, norm AS line, n_rows FROM named",
+    "p4_texts": _P4
+    + """SELECT f.content_id, CASE WHEN f.source IS NULL OR f.text IS NULL THEN f.text ELSE coalesce(k.text, '') END AS text FROM fetched_content f LEFT JOIN (
+  SELECT content_id, string_agg(line, chr(10) ORDER BY line_no) AS text FROM n LEFT JOIN named USING (source, norm) WHERE named.norm IS NULL GROUP BY content_id) k ON k.content_id = f.content_id""",
+}

@@ -6,13 +6,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, table
-from . import leaks, spans
+from . import cutoffs, leaks, sitelines, spans
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
     return table(configure(spark), sf, "documents")
 
 
+def _content(spark: SparkSession, sf: str) -> DataFrame:
+    return table(configure(spark), sf, "fetched_content")
+
+
+def _selected(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return cutoffs.select(table(configure(spark), sf, "score_result"), _content(spark, sf), table(spark, sf, "keep_target"))
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _selected(spark, sf)[0].select("content_id")
+
+
+def p2_cutoffs(spark: SparkSession, sf: str) -> DataFrame:
+    return _selected(spark, sf)[1]
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _content(spark, sf)
+    return sitelines.marked(rows, sitelines.repeated_lines(rows), "content_id").select("content_id", "line_no")
+
+
+def p4_texts(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _content(spark, sf)
+    return sitelines.cleaned(rows, sitelines.repeated_lines(rows)).select("content_id", "text")
+
+
+def p4_lines(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _content(spark, sf)
+    named = sitelines.marked(rows, sitelines.repeated_lines(rows), "content_id").withColumn("line", sitelines.norm(F.col("line")))
+    return named.groupBy("source", "line").agg(F.countDistinct("content_id").alias("n_rows"))
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.leaks(_docs(spark, sf), table(spark, sf, "benchmark")).select("doc_id", "item_id")
 
@@ -29,4 +61,4 @@ def p10_report(spark: SparkSession, sf: str) -> DataFrame:
     return spans.report(_docs(spark, sf).select(F.col("doc_id").alias("id"), "text")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p8_found, p8_report, p10_found, p10_report)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_cutoffs, p4_found, p4_texts, p4_lines, p8_found, p8_report, p10_found, p10_report)}
