@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, table
-from . import cutoffs, leaks, sitelines, spans
+from . import boilerplate, cutoffs, leaks, sitelines, spans
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -21,6 +21,14 @@ def _selected(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return cutoffs.select(table(configure(spark), sf, "score_result"), _content(spark, sf), table(spark, sf, "keep_target"))
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return boilerplate.boilerplate_lines(_content(spark, sf))
+
+
+def p1_texts(spark: SparkSession, sf: str) -> DataFrame:
+    return boilerplate.main_text(_content(spark, sf))
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return _selected(spark, sf)[0].select("content_id")
 
@@ -61,4 +69,4 @@ def p10_report(spark: SparkSession, sf: str) -> DataFrame:
     return spans.report(_docs(spark, sf).select(F.col("doc_id").alias("id"), "text")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_cutoffs, p4_found, p4_texts, p4_lines, p8_found, p8_report, p10_found, p10_report)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_texts, p2_found, p2_cutoffs, p4_found, p4_texts, p4_lines, p8_found, p8_report, p10_found, p10_report)}
