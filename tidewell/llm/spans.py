@@ -1,16 +1,17 @@
 """Long exact spans shared between records (problem 10), by parsing each text against blocks of all others.
 
-1. Every text is indexed by content-defined blocks: of each run of 201 windows of 100 characters the one of least hash.
+1. Equal texts form a class; only its record of smallest id goes on.
+2. Every text is indexed by content-defined blocks: of each run of 201 windows of 100 characters the one of least hash.
    Any span of 300 characters holds such a block, and equal spans hold equal blocks. About one block per 100 characters
    is shuffled. Blocks of one text only are dropped.
-2. Around each block that is left, the hashes of all windows of `least` characters that hold it are compared; windows
-   that occur in two texts are the shared ones. Only texts with a repeated block take part.
-3. Each text is factored against the reference (the smallest id) of every shared window: from the window the match is
-   extended to both sides, character by character, and the parse goes on after the longest factor. Factors are checked
-   against both texts, so a report never rests on a hash.
-
-Work follows the shared text. A passage in a third of all records gives one row per record in each step, not pairs; only
-`pairs`, whose result is pairs by definition, lists them, once for each distinct set of records.
+3. Texts that share a block are factored against each other as Lempel-Ziv does relative to a reference: at each block of
+   the one the longest match in the other is taken, extended to both sides character by character, and the parse goes on
+   behind it. Factors of `least` characters are spans; they are checked in both texts, so no result rests on a hash.
+4. A block in more than `HOT` texts is not compared pair by pair, as it may be a short notice in a third of all records.
+   There the hashes of all windows of `least` characters that hold the block are compared: one row per window and
+   record. Records with a window in common share that span. So both ways are exact and the number only chooses.
+
+`pairs`, whose result is pairs by definition, lists those of a hot window once for each distinct set of records.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ from ..session import settle
 from .arrays import anchors, chunks, code_points, int64, window_hashes
 
 BLOCK = 100
+#: A block in more texts than this is compared by windows, not by pairs.
+HOT = 40
+#: Ids are broadcast up to this many.
+BROADCAST_IDS = 1_000_000
 
 
 def _blocks(least: int):
@@ -57,18 +62,66 @@ def _windows(least: int):
     return run
 
 
-def shared_windows(docs: DataFrame, least: int = 300) -> DataFrame:
-    """w, id, pos, ref, ref_pos: each window of `least` characters that occurs in two or more records, with the record
-    of smallest id that holds it. docs: id bigint, text string. Null, empty and shorter texts have none; rows that
-    repeat an id count as one record, whose first text by order is taken."""
-    docs = docs.select(F.col("id").cast("bigint").alias("id"), "text").where("id IS NOT NULL AND text IS NOT NULL")
-    long = docs.where(F.length("text") >= least)
-    blocks = settle(long.mapInArrow(_blocks(least), "h bigint, id bigint, pos int"), "blocks")
-    repeated = blocks.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
-    places = blocks.join(repeated, "h", "left_semi").groupBy("id").agg(F.collect_set("pos").alias("at"))  # of one text
-    windows = settle(long.join(places, "id").select("id", "text", "at").mapInArrow(_windows(least), "w bigint, id bigint, pos int"), "windows")
-    shared = windows.groupBy("w").agg(F.min(F.struct("id", "pos")).alias("first"), F.max("id").alias("hi")).where("first.id < hi")
-    return windows.join(shared.select("w", F.col("first.id").alias("ref"), F.col("first.pos").alias("ref_pos")), "w")
+def _clean(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("id").cast("bigint").alias("id"), "text").where("id IS NOT NULL AND text IS NOT NULL")
+
+
+def _classes(docs: DataFrame, least: int) -> DataFrame:
+    """id, rep: of texts long enough that occur more than once, every record with the smallest id of its text."""
+    keyed = docs.where(F.length("text") >= least).select("id", F.sha2("text", 256).alias("k"))
+    many = keyed.groupBy("k").agg(F.min("id").alias("rep"), F.max("id").alias("hi")).where("rep < hi").select("k", "rep")
+    return keyed.join(many, "k").select("id", "rep").distinct()
+
+
+def _sides(df: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(df) if n <= BROADCAST_IDS else df
+
+
+class Shared:
+    """What the records share: class membership, factors of cold blocks, windows of hot ones; each written once."""
+
+    def __init__(self, docs: DataFrame, least: int = 300):
+        self.least = least
+        self.docs = _clean(docs)
+        self.classes = settle(_classes(self.docs, least), "classes")
+        copies = self.classes.where("id <> rep").select("id")
+        self.long = self.docs.where(F.length("text") >= least)
+        blocks = self.long.mapInArrow(_blocks(least), "h bigint, id bigint, pos int")
+        blocks = settle(blocks.join(_sides(copies, copies.count()), "id", "left_anti"), "blocks")
+        groups = blocks.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.approx_count_distinct("id").alias("n")).where("lo < hi")
+        repeated = settle(blocks.join(groups.select("h", "n"), "h").select("h", "id", "pos", (F.col("n") > HOT).alias("hot")), "repeated")
+        cold = repeated.where("NOT hot").groupBy("h").agg(F.array_sort(F.collect_set("id")).alias("ids"))
+        a = cold.select("ids", F.posexplode("ids").alias("k", "id_a"))
+        pairs = a.select("id_a", F.explode(F.slice("ids", F.col("k") + 2, F.size("ids"))).alias("id_b")).distinct()
+        self.factors = settle(self._factor(settle(pairs, "candidates")), "factors")
+        self.windows = settle(self._hot(repeated.where("hot").select("id", "pos")), "windows")
+
+    def _some(self, ids: DataFrame) -> DataFrame:
+        return self.long.join(_sides(ids, ids.count()), "id", "left_semi")
+
+    def _factor(self, pairs: DataFrame) -> DataFrame:
+        """id_a, id_b, start_a, start_b, length of every factor of the pairs' texts."""
+        ids = settle(pairs.select(F.col("id_a").alias("id")).unionByName(pairs.select(F.col("id_b").alias("id"))).distinct(), "ids")
+        texts = self._some(ids)
+        both = pairs.join(texts.select(F.col("id").alias("id_a"), F.col("text").alias("a")), "id_a").join(texts.select(F.col("id").alias("id_b"), F.col("text").alias("b")), "id_b")
+        least = self.least
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = [(r["id_a"], r["id_b"], *f) for r in batch.to_pylist() for f in parse(r["b"], r["a"], least)]
+                cols = zip(*out) if out else [[]] * 5
+                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], ["id_a", "id_b", "start_a", "start_b", "length"])
+
+        return both.select("id_a", "id_b", "a", "b").mapInArrow(run, "id_a bigint, id_b bigint, start_a int, start_b int, length int")
+
+    def _hot(self, at: DataFrame) -> DataFrame:
+        """w, id, pos: the windows around hot blocks that two records or more have in common."""
+        places = at.groupBy("id").agg(F.collect_set("pos").alias("at"))  # of one text
+        rows = self._some(at.select("id").distinct()).join(places, "id").select("id", "text", "at")
+        windows = settle(rows.mapInArrow(_windows(self.least), "w bigint, id bigint, pos int"), "hot")
+        shared = windows.groupBy("w").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("w")
+        return windows.join(shared, "w", "left_semi")
 
 
 def _extend(a: str, b: str, i: int, j: int, k: int) -> tuple[int, int, int]:
@@ -86,68 +139,64 @@ def _extend(a: str, b: str, i: int, j: int, k: int) -> tuple[int, int, int]:
     return i - lo, j - lo, lo + hi
 
 
-def factors(docs: DataFrame, least: int = 300, windows: DataFrame | None = None) -> DataFrame:
-    """id, ref, start, ref_start, length: the factors of at least `least` characters of each record against the
-    references of its shared windows. Starts count from 0."""
-    docs = docs.select(F.col("id").cast("bigint").alias("id"), "text").where("id IS NOT NULL AND text IS NOT NULL")
-    windows = shared_windows(docs, least) if windows is None else windows
-    diagonal = windows.where("id <> ref").withColumn("shift", F.col("pos") - F.col("ref_pos"))
-    # one seed for each unbroken run of windows on a diagonal: the window whose predecessor is missing
-    seeds = diagonal.groupBy("id", "ref", "shift").agg(F.sort_array(F.collect_set("pos")).alias("at"))
-    refs = docs.select(F.col("id").alias("ref"), F.col("text").alias("ref_text"))
-    both = seeds.join(docs, "id").join(refs, "ref").select("id", "ref", "shift", "at", "text", "ref_text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: list[tuple] = []
-            for r in b.to_pylist():
-                end = -1
-                for pos in r["at"]:
-                    if pos + least <= end:  # inside the factor just taken
-                        continue
-                    if r["text"][pos : pos + least] != r["ref_text"][pos - r["shift"] : pos - r["shift"] + least]:
-                        continue
-                    s, rs, n = _extend(r["text"], r["ref_text"], pos, pos - r["shift"], least)
-                    out.append((r["id"], r["ref"], s, rs, n))
-                    end = s + n
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out) if out else [[]] * 5, [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()])], ["id", "ref", "start", "ref_start", "length"])
-
-    return both.mapInArrow(run, "id bigint, ref bigint, start int, ref_start int, length int")
+def parse(text: str, ref: str, least: int) -> list[tuple[int, int, int]]:
+    """Greedy factors of `text` relative to `ref`: (start in ref, start in text, length), each at least `least` long."""
+    pt, pr = code_points([text]), code_points([ref])
+    at_t, h_t = anchors(*pt, BLOCK, least - BLOCK + 1)
+    at_r, h_r = anchors(*pr, BLOCK, least - BLOCK + 1)
+    where: dict[int, list[int]] = {}
+    for p, h in zip(at_r.tolist(), h_r.tolist()):
+        where.setdefault(h, []).append(p)
+    out, end = [], -1
+    for p, h in zip(at_t.tolist(), h_t.tolist()):
+        if p + BLOCK <= end or h not in where:
+            continue
+        longest = (0, 0, 0)
+        for q in where[h]:
+            if text[p : p + BLOCK] == ref[q : q + BLOCK]:
+                s, rs, n = _extend(text, ref, p, q, BLOCK)
+                longest = max(longest, (n, rs, s))
+        if longest[0] >= least:
+            out.append((longest[1], longest[2], longest[0]))
+            end = longest[2] + longest[0]
+    return out
 
 
 def pairs(docs: DataFrame, least: int = 300) -> DataFrame:
     """doc_id_a, doc_id_b (a < b): the records that share a span of at least `least` characters.
 
-    The factors of a record against a reference hold each shared window, checked; records that agree in a window with
-    the same reference agree with each other. Of windows with the same set of records only one is listed.
+    docs: id bigint, text string. Null ids and texts, and texts shorter than `least`, share nothing; rows that repeat an
+    id count as one record, whose texts all count.
     """
-    windows = settle(shared_windows(docs, least), "shared")
-    checked = settle(factors(docs, least, windows), "factors")
-    # a window stays where its record's factor against the reference covers it
-    w = windows.withColumn("shift", F.col("pos") - F.col("ref_pos"))
-    f = checked.select("id", "ref", F.col("start").alias("s"), (F.col("start") + F.col("length") - least).alias("e"), (F.col("start") - F.col("ref_start")).alias("shift"))
-    held = w.where("id <> ref").join(f, ["id", "ref", "shift"]).where("pos BETWEEN s AND e").select("w", "ref", "ref_pos", "id")
-    members = held.unionByName(held.select("w", "ref", "ref_pos", F.col("ref").alias("id"))).distinct()
-    marks = members.groupBy("w", "ref", "ref_pos").agg(F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("m1"), F.sum(F.hash("id").cast("bigint")).alias("m2"), F.count(F.lit(1)).alias("n"))
-    one = marks.groupBy("ref", "m1", "m2", "n").agg(F.min("w").alias("w")).select("ref", "w")
-    kept = members.join(one, ["ref", "w"], "left_semi").select("ref", "w", "id")
-    a, b = kept.withColumnRenamed("id", "doc_id_a"), kept.withColumnRenamed("id", "doc_id_b")
-    return a.join(b, ["ref", "w"]).where("doc_id_a < doc_id_b").select("doc_id_a", "doc_id_b").distinct()
+    s = Shared(docs, least)
+    marks = s.windows.groupBy("w").agg(F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("m1"), F.sum(F.hash("id").cast("bigint")).alias("m2"), F.count(F.lit(1)).alias("n"))
+    one = marks.groupBy("m1", "m2", "n").agg(F.min("w").alias("w")).select("w")
+    kept = s.windows.join(one, "w", "left_semi").select("w", "id").distinct()
+    hot = kept.withColumnRenamed("id", "id_a").join(kept.withColumnRenamed("id", "id_b"), "w").where("id_a < id_b").select("id_a", "id_b")
+    reps = s.factors.select("id_a", "id_b").unionByName(hot).distinct()
+    # each side stands for all records of its class
+    members = s.classes.select(F.col("rep"), F.col("id").alias("member"))
+    wide = reps.join(members.select(F.col("rep").alias("id_a"), F.col("member").alias("m_a")), "id_a", "left").join(members.select(F.col("rep").alias("id_b"), F.col("member").alias("m_b")), "id_b", "left")
+    wide = wide.select(F.coalesce("m_a", "id_a").alias("x"), F.coalesce("m_b", "id_b").alias("y"))
+    within = s.classes.select("rep", F.col("id").alias("x")).join(s.classes.select("rep", F.col("id").alias("y")), "rep").where("x < y").select("x", "y")
+    both = wide.unionByName(within).select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b"))
+    return both.where("doc_id_a < doc_id_b").distinct()
 
 
 def report(docs: DataFrame, least: int = 300) -> DataFrame:
     """id, n_chars, shared_chars, shared_share, n_spans: one row per record, how much of it stands in other records.
 
-    A record's shared text is the union of its factors and of the spans other records' factors cover in it. A record
-    that shares nothing has 0; a null text has n_chars 0.
+    A record's shared text is the union of its spans of at least `least` characters that stand in another record. A
+    record that shares nothing has 0; a null text has n_chars 0.
     """
-    windows = settle(shared_windows(docs, least), "shared")
-    checked = settle(factors(docs, least, windows), "factors")
-    sides = checked.select("id", "start", (F.col("start") + F.col("length")).alias("stop")).unionByName(
-        checked.select(F.col("ref").alias("id"), F.col("ref_start").alias("start"), (F.col("ref_start") + F.col("length")).alias("stop"))
+    s = Shared(docs, least)
+    f = s.factors
+    spans = (
+        f.select(F.col("id_a").alias("id"), F.col("start_a").alias("start"), (F.col("start_a") + F.col("length")).alias("stop"))
+        .unionByName(f.select(F.col("id_b").alias("id"), F.col("start_b").alias("start"), (F.col("start_b") + F.col("length")).alias("stop")))
+        .unionByName(s.windows.select("id", F.col("pos").alias("start"), (F.col("pos") + least).alias("stop")))
     )
-    # spans of one record: distinct first, as a passage in many records gives the reference one equal row for each
-    ordered = sides.distinct().groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("s"))
+    ordered = spans.distinct().groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("s"))  # of one text
 
     def merge(acc, x):
         fresh = F.greatest(F.lit(0), x["stop"] - F.greatest(x["start"], acc["end"]))
@@ -155,11 +204,13 @@ def report(docs: DataFrame, least: int = 300) -> DataFrame:
 
     zero = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n"), F.lit(-1).alias("end"))
     merged = ordered.select("id", F.aggregate("s", zero, merge).alias("m")).select("id", F.col("m.sum").alias("shared"), F.col("m.n").alias("spans"))
-    every = docs.groupBy(F.col("id").cast("bigint").alias("id")).agg(F.max(F.coalesce(F.length("text"), F.lit(0))).alias("n_chars"))
-    return every.join(merged, "id", "left").select(
+    every = docs.where("id IS NOT NULL").groupBy(F.col("id").cast("bigint").alias("id")).agg(F.max(F.coalesce(F.length("text"), F.lit(0))).alias("n_chars"))
+    copies = s.classes.select("id", F.lit(True).alias("copied"))
+    shared = F.when(F.col("copied"), F.col("n_chars")).otherwise(F.coalesce("shared", F.lit(0)))
+    return every.join(copies, "id", "left").join(merged, "id", "left").select(
         "id",
         F.col("n_chars").cast("bigint").alias("n_chars"),
-        F.coalesce("shared", F.lit(0)).cast("bigint").alias("shared_chars"),
-        F.when(F.col("n_chars") > 0, F.coalesce("shared", F.lit(0)) / F.col("n_chars")).otherwise(F.lit(0.0)).alias("shared_share"),
-        F.coalesce("spans", F.lit(0)).cast("bigint").alias("n_spans"),
+        shared.cast("bigint").alias("shared_chars"),
+        F.when(F.col("n_chars") > 0, shared / F.col("n_chars")).otherwise(F.lit(0.0)).alias("shared_share"),
+        F.when(F.col("copied"), F.lit(1)).otherwise(F.coalesce("spans", F.lit(0))).cast("bigint").alias("n_spans"),
     )
