@@ -105,9 +105,11 @@ def marked(rows: DataFrame, named: DataFrame, row_id: str) -> DataFrame:
     return hit.select(row_id, "source", F.explode(mine).alias("l")).select(row_id, "source", "l.line_no", "l.line")
 
 
-def cleaned(rows: DataFrame, named: DataFrame) -> DataFrame:
-    """The rows, all columns kept, with `text` freed of its source's repeated lines; a null text stays null."""
+def cleaned(rows: DataFrame, named: DataFrame, blank: bool = False) -> DataFrame:
+    """The rows, all columns kept, with `text` freed of its source's repeated lines; a null text stays null. With
+    `blank` the lines are emptied instead, so that the others keep their numbers."""
     # a blank line's hash is never named, as blank lines are not counted
-    kept = F.filter(_lines(F.col("text")), lambda x: ~F.array_contains(F.col("named_lines"), F.xxhash64(norm(x))))
+    repeated = lambda x: F.array_contains(F.col("named_lines"), F.xxhash64(norm(x)))
+    kept = F.transform(_lines(F.col("text")), lambda x: F.when(repeated(x), F.lit("")).otherwise(x)) if blank else F.filter(_lines(F.col("text")), lambda x: ~repeated(x))
     out = _with_named(rows, named).withColumn("text", F.when(F.col("named_lines").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
     return out.select(*rows.columns)
