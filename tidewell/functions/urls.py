@@ -17,3 +17,19 @@ def host_of(url: Column) -> Column:
     """Lower-cased host without user, port, a leading www., m. or amp.; '' where there is none."""
     h = F.lower(part(url, 2))
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(h, r"^.*@", ""), r":\d*$", ""), r"^(?:www\d?\.|m\.|mobile\.|amp\.)+", "")
+
+
+# Query parameters that tell where a reader came from, not which page is meant.
+TRACKING = r"^(?:utm_[^=]*|fbclid|gclid|gclsrc|dclid|gbraid|wbraid|msclkid|yclid|twclid|ttclid|igshid|mc_cid|mc_eid|_ga|_gl|_hsenc|_hsmi|spm|scm|ref|ref_src|ref_url|referrer|referer|source|src|from|share|shared|cmpid|campaign|ncid|trk|trkcampaign|sessionid|session_id|phpsessid|sid|jsessionid|amp|outputtype)(?:=|$)"
+
+
+def page_key(url: Column) -> Column:
+    """An address without the parts that do not tell pages of a site apart: scheme, www and mobile hosts, letter case
+    of the host, standard port, trailing slashes, index file, session and tracking parameters, order of parameters,
+    fragment. Letter case of the path counts, as does every other parameter. Null for null and for no address."""
+    path = F.regexp_replace(F.regexp_replace(part(url, 3), r"(?i);jsessionid=[^/]*", ""), r"/{2,}", "/")
+    path = F.regexp_replace(F.regexp_replace(path, r"(?i)/(?:index|default)\.html?$", "/"), r"/+$", "")
+    kept = F.array_sort(F.filter(F.split(part(url, 4), "&"), lambda x: (x != "") & ~F.lower(x).rlike(TRACKING)))
+    port = F.regexp_extract(part(url, 2), r":(\d+)$", 1)
+    host = F.concat(host_of(url), F.when(~port.isin("", "80", "443"), F.concat(F.lit(":"), port)).otherwise(""))
+    return F.when(host_of(url) != "", F.concat_ws("?", F.concat(host, path), F.when(F.size(kept) > 0, F.array_join(kept, "&"))))

@@ -25,6 +25,44 @@ def identity(event_id: Column) -> Column:
     return F.nullif(F.lower(F.regexp_replace(event_id, r"(?U)^\s+|\s+$", "")), F.lit(""))
 
 
+class Runs:
+    """A table under `path` of runs that are added or replaced as a whole, hashed into buckets by `key` and sorted in
+    them by `sort`. Joins and aggregations by `key` over all runs need no shuffle."""
+
+    def __init__(self, spark: SparkSession, key: str, sort: list[str], path: str | None = None, buckets: int | None = None):
+        self.spark, self.key, self.sort = spark, key, sort
+        self.path = path or scratch_path(spark, "store")
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.name = f"tidewell_{uuid.uuid4().hex[:12]}"
+        self._made = False
+
+    def put(self, rows: DataFrame, run: str) -> None:
+        """Store rows as the run `run`, replacing an earlier one of that name and nothing else."""
+        placed = rows.withColumn("run", F.lit(run)).repartition(self.buckets, self.key)
+        if not self._made:
+            w = placed.write.format("parquet").option("path", self.path).partitionBy("run")
+            w.bucketBy(self.buckets, self.key).sortBy(*self.sort).saveAsTable(self.name)
+            self._made = True
+            return
+        mode, before = "spark.sql.sources.partitionOverwriteMode", self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        self.spark.conf.set(mode, "dynamic")  # only the partitions written are replaced
+        try:
+            placed.select(*self.spark.table(self.name).columns).write.insertInto(self.name, overwrite=True)
+        finally:
+            self.spark.conf.set(mode, before)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def runs(self) -> list[str]:
+        return sorted(r[0] for r in self.read().select("run").distinct().collect())
+
+    def drop(self) -> None:
+        """Forget the table (its files stay with the path's owner)."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        self._made = False
+
+
 class BucketStore:
     """Keyed storage of whole rows under `path`; columns of any name may be stored, as a row is kept as one struct.
 
@@ -33,11 +71,8 @@ class BucketStore:
     """
 
     def __init__(self, spark: SparkSession, key: str, order: str, path: str | None = None, buckets: int | None = None):
-        self.spark, self.key, self.order = spark, key, order
-        self.path = path or scratch_path(spark, "store")
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.name = f"tidewell_{uuid.uuid4().hex[:12]}"
-        self._made = False
+        self.key, self.order = key, order
+        self.table = Runs(spark, "k", ["k", "o"], path, buckets)
 
     def _collapsed(self, df: DataFrame) -> DataFrame:
         row = F.struct(*[df[c] for c in df.columns])
@@ -50,27 +85,16 @@ class BucketStore:
 
     def upsert(self, batch: DataFrame, run: str) -> None:
         """Store a batch as the run `run`, replacing an earlier delivery of the same run and nothing else."""
-        rows = self._collapsed(batch).withColumn("run", F.lit(run)).repartition(self.buckets, "k")
-        if not self._made:
-            w = rows.write.format("parquet").option("path", self.path).partitionBy("run").bucketBy(self.buckets, "k").sortBy("k", "o")
-            w.saveAsTable(self.name)
-            self._made = True
-        else:
-            mode, before = "spark.sql.sources.partitionOverwriteMode", self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-            self.spark.conf.set(mode, "dynamic")  # only the partitions written are replaced
-            try:
-                rows.select(*self.spark.table(self.name).columns).write.insertInto(self.name, overwrite=True)
-            finally:
-                self.spark.conf.set(mode, before)
+        self.table.put(self._collapsed(batch), run)
 
     def runs(self) -> list[str]:
-        return sorted(r[0] for r in self.spark.table(self.name).select("run").distinct().collect())
+        return self.table.runs()
 
     def _merged(self, with_row: bool) -> DataFrame:
         aggs = [F.min("o").alias("o"), F.sum("copies").alias("copies")]
         if with_row:
             aggs.append(F.min_by("row", F.struct(F.col("o").isNull(), F.col("o"))).alias("row"))
-        return self.spark.table(self.name).groupBy("k").agg(*aggs)
+        return self.table.read().groupBy("k").agg(*aggs)
 
     def compact(self) -> DataFrame:
         """k, o, copies and the surviving row of every identifier, merged out of the runs."""
@@ -80,11 +104,6 @@ class BucketStore:
         """k, o and copies alone; the stored rows are not read."""
         return self._merged(False)
 
-    def drop(self) -> None:
-        """Forget the table (its files stay with the path's owner)."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-        self._made = False
-
 
 def load(df: DataFrame, batch: str | None, key: str, order: str, open_batches: int = 2) -> BucketStore:
     """A store of all batches: those before the last `open_batches` as one run, then each later batch as its own run.
