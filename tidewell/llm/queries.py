@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, table
-from . import boilerplate, cutoffs, leaks, residue, sitelines, spans
+from . import boilerplate, cutoffs, incremental, leaks, residue, sitelines, spans
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -61,6 +61,11 @@ def p6_lines(spark: SparkSession, sf: str) -> DataFrame:
     return residue.residue_lines(_content(spark, sf))
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _content(spark, sf)
+    return incremental.repeated_tasks(table(spark, sf, "queue_task"), rows, residue.real_text(rows))
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.leaks(_docs(spark, sf), table(spark, sf, "benchmark")).select("doc_id", "item_id")
 
@@ -77,4 +82,4 @@ def p10_report(spark: SparkSession, sf: str) -> DataFrame:
     return spans.report(_docs(spark, sf).select(F.col("doc_id").alias("id"), "text")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_texts, p2_found, p2_cutoffs, p4_found, p4_texts, p4_lines, p6_found, p6_lines, p8_found, p8_report, p10_found, p10_report)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_texts, p2_found, p2_cutoffs, p4_found, p4_texts, p4_lines, p6_found, p6_lines, p7_found, p8_found, p8_report, p10_found, p10_report)}
