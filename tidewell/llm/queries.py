@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, table
-from . import boilerplate, cutoffs, incremental, leaks, residue, sitelines, spans
+from . import boilerplate, cutoffs, incremental, leaks, mixing, residue, sitelines, spans
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,6 +74,21 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.report(_docs(spark, sf), table(spark, sf, "benchmark"))
 
 
+def _copies(spark: SparkSession, sf: str) -> DataFrame:
+    targets = table(spark, sf, "mix_target")
+    # only the targets' sources are tokenized
+    docs = _docs(spark, sf).join(F.broadcast(targets.select("source").distinct()), "source", "left_semi")
+    return mixing.copies(mixing.token_counts(docs), targets)
+
+
+def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.shares(_copies(spark, sf), table(spark, sf, "mix_target"))
+
+
+def p9_copies(spark: SparkSession, sf: str) -> DataFrame:
+    return _copies(spark, sf)
+
+
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return spans.pairs(_docs(spark, sf).select(F.col("doc_id").alias("id"), "text"))
 
@@ -82,4 +97,4 @@ def p10_report(spark: SparkSession, sf: str) -> DataFrame:
     return spans.report(_docs(spark, sf).select(F.col("doc_id").alias("id"), "text")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_texts, p2_found, p2_cutoffs, p4_found, p4_texts, p4_lines, p6_found, p6_lines, p7_found, p8_found, p8_report, p10_found, p10_report)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_texts, p2_found, p2_cutoffs, p4_found, p4_texts, p4_lines, p6_found, p6_lines, p7_found, p8_found, p8_report, p9_shares, p9_copies, p10_found, p10_report)}
