@@ -33,3 +33,30 @@ def page_key(url: Column) -> Column:
     port = F.regexp_extract(part(url, 2), r":(\d+)$", 1)
     host = F.concat(host_of(url), F.when(~port.isin("", "80", "443"), F.concat(F.lit(":"), port)).otherwise(""))
     return F.when(host_of(url) != "", F.concat_ws("?", F.concat(host, path), F.when(F.size(kept) > 0, F.array_join(kept, "&"))))
+
+
+def normalize(url: Column) -> Column:
+    """Scheme and host lower-cased, standard port and fragment dropped, one trailing slash removed; a value that is no
+    absolute address is only trimmed."""
+    u = F.trim(url)
+    host = F.regexp_replace(F.lower(part(url, 2)), r":(?:80|443)$", "")
+    query = F.regexp_extract(u, r"^[^?#]*(\?[^#]*)?", 1)
+    path = F.regexp_replace(part(url, 3), r"/$", "")
+    return F.when(u.rlike(SPLIT), F.concat(F.lower(part(url, 1)), F.lit("://"), host, path, query)).otherwise(u)
+
+
+def with_scheme(url: Column) -> Column:
+    """`https://` put before an address that has no scheme; blank stays blank."""
+    u = F.trim(url)
+    return F.when(u.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://") | (u == ""), u).otherwise(F.concat(F.lit("https://"), u))
+
+
+def well_formed(url: Column) -> Column:
+    """Whether a value is an http(s) address with a host."""
+    return F.coalesce(F.lower(part(url, 1)).isin("http", "https") & (part(url, 2) != ""), F.lit(False))
+
+
+def urls_in(text: Column) -> Column:
+    """The distinct addresses in a text, in order, without trailing punctuation; a bare www. host gets a scheme."""
+    found = F.regexp_extract_all(text, F.lit(r"((?:https?://|www\.)[^\s<>\"]+)"), F.lit(1))
+    return F.array_distinct(F.transform(found, lambda x: with_scheme(F.regexp_replace(x, r"[.,;:!?)\]}'。,;:!?)】》]+$", ""))))

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import core_problems
+from . import core_problems, core_queries
 
-_MODULES = [core_problems]
+_MODULES = [core_problems, core_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    return core_problems.p3_messages(spark, sf)
+    return core_queries.flagship(spark, sf)

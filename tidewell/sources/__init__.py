@@ -1 +1 @@
-"""Connectors and stateful variants of the batch operators."""
+"""Feeds, lists and pages as DataFrames."""

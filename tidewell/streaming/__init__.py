@@ -1 +1 @@
-"""Connectors and stateful variants of the batch operators."""
+"""Structured Streaming variants of the batch operators."""
