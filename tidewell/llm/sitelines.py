@@ -88,18 +88,19 @@ def repeated_lines(rows: DataFrame, min_rows: int = 5, min_share: float = 0.05,
 
 
 def _with_named(rows: DataFrame, named: DataFrame) -> DataFrame:
-    """The rows with `named_lines`, the hashes of their source's lines to remove."""
+    """row (the whole row), named_lines: the hashes of its source's lines to remove."""
     named = settle(named.select("source", "h"), "named")
     by_source = named.groupBy(F.col("source").alias("named_source")).agg(F.collect_set("h").alias("named_lines"))
     if named.count() <= BROADCAST_LINES:
         by_source = F.broadcast(by_source)
-    return rows.join(by_source, rows["source"] == F.col("named_source"), "left").drop("named_source")
+    whole = rows.select(F.struct("*").alias("row"))  # so that no name of the rows can clash
+    return whole.join(by_source, F.col("row.source") == F.col("named_source"), "left").drop("named_source")
 
 
 def marked(rows: DataFrame, named: DataFrame, row_id: str) -> DataFrame:
     """row_id, line_no (from 1), source, line: every line to remove, where it stands."""
     picked = rows.select(F.col(row_id), "source", "text").where("source IS NOT NULL AND text IS NOT NULL")
-    hit = _with_named(picked, named).where("named_lines IS NOT NULL")
+    hit = _with_named(picked, named).where("named_lines IS NOT NULL").select("row.*", "named_lines")
     numbered = F.transform(_lines(F.col("text")), lambda x, i: F.struct((i + 1).alias("line_no"), x.alias("line"), norm(x).alias("norm")))
     mine = F.filter(numbered, lambda x: (x["norm"] != "") & F.array_contains(F.col("named_lines"), F.xxhash64(x["norm"])))
     return hit.select(row_id, "source", F.explode(mine).alias("l")).select(row_id, "source", "l.line_no", "l.line")
@@ -110,6 +111,7 @@ def cleaned(rows: DataFrame, named: DataFrame, blank: bool = False) -> DataFrame
     `blank` the lines are emptied instead, so that the others keep their numbers."""
     # a blank line's hash is never named, as blank lines are not counted
     repeated = lambda x: F.array_contains(F.col("named_lines"), F.xxhash64(norm(x)))
-    kept = F.transform(_lines(F.col("text")), lambda x: F.when(repeated(x), F.lit("")).otherwise(x)) if blank else F.filter(_lines(F.col("text")), lambda x: ~repeated(x))
-    out = _with_named(rows, named).withColumn("text", F.when(F.col("named_lines").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
-    return out.select(*rows.columns)
+    lines = _lines(F.col("row.text"))
+    kept = F.transform(lines, lambda x: F.when(repeated(x), F.lit("")).otherwise(x)) if blank else F.filter(lines, lambda x: ~repeated(x))
+    text = F.when(F.col("named_lines").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
+    return _with_named(rows, named).select(F.col("row").withField("text", text).alias("row")).select("row.*")
