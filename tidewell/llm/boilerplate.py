@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Pages the word model is fitted on, chosen by a hash of their id; the only bound in this operator.
-FIT_PAGES = 4_000
+FIT_PAGES = 12_000
 #: Entries of the word model that are kept: those seen at least twice.
 CLIP, WORD_CLIP, NEW = 6.0, 5.0, 1.0
 NEIGHBOUR, NEIGHBOUR_APART, PARENT = 0.35, 0.1, 0.8
@@ -36,6 +36,7 @@ SKIP = {"script", "style", "noscript", "template", "svg", "head", "iframe", "sel
 INLINE = {"b", "i", "em", "strong", "u", "sup", "sub", "code", "mark", "abbr", "time", "q", "cite", "font", "br", "wbr"}
 FURNITURE = {"nav", "footer", "aside", "header", "menu", "form", "dialog"}
 BODY = {"article": 1.5, "main": 1.0}
+PROSE = {"p", "li", "blockquote", "pre", "h1", "h2"}
 TAG = {"p": 0.8, "h1": 2.5, "h2": 1.2, "h3": -0.8, "h4": -0.5, "li": 0.4, "blockquote": 1.5, "pre": 1.0, "figcaption": -1.0, "small": -4.0, "span": -3.0, "a": -3.0, "div": -1.5, "td": -0.5}
 
 _TOKEN = re.compile(r"<!--.*?-->|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+)|<", re.S)
@@ -190,13 +191,14 @@ def costs(page: list[tuple], model: dict, site: str, memo: dict) -> list[float]:
     """For each block the logarithm of the odds that it is article; the terminal capacities."""
     out = []
     for text, tag, _, furniture, link in page:
-        key = (text, site) if len(text) < 200 else None  # short blocks come back on many pages
+        prose = tag in PROSE
+        key = (text, site, prose) if len(text) < 200 else None  # short blocks come back on many pages
         words = memo.get(key) if key else None
         if words is None:
             terms = _terms(plain(text), site)
             known = [model[t] for t in terms if t in model]
-            # terms never seen speak for content: furniture says the same on many pages
-            total = sum(known) + NEW * (len(terms) - len(known))
+            # in elements of prose, terms never seen speak for content: furniture says the same on many pages
+            total = sum(known) + (NEW * (len(terms) - len(known)) if prose else 0.0)
             words = max(-WORD_CLIP, min(WORD_CLIP, 2.0 * total / math.sqrt(len(terms) + 4))) if terms else 0.0
             if key:
                 if len(memo) > 200_000:
