@@ -72,3 +72,54 @@ def has_keyword(text: Column, word: str) -> Column:
 def month_week(ts: Column) -> Column:
     """`yyyy-MM-Wn`, the n-th seven days of the month."""
     return F.concat(F.date_format(ts, "yyyy-MM"), F.lit("-W"), F.floor((F.dayofmonth(ts) - 1) / 7).cast("int") + 1)
+
+
+def reader_title(text: Column) -> Column:
+    """The `Title: ` line of a reader's output, null if there is none."""
+    return F.nullif(F.trim(F.regexp_extract(text, r"(?m)^Title: (.*)$", 1)), F.lit(""))
+
+
+def reader_body(text: Column) -> Column:
+    """What follows `Markdown Content:`; the whole text where that line is missing."""
+    body = F.regexp_extract(text, r"(?s)Markdown Content:\s*(.*)$", 1)
+    return F.when(text.rlike("Markdown Content:"), F.trim(body)).otherwise(text)
+
+
+def front_matter(document: Column, field: str) -> Column:
+    """A field of a Markdown document's front matter, without quotes; null if absent."""
+    block = F.regexp_extract(document, r"(?s)^---\n(.*?)\n---(?:\n|$)", 1)
+    return F.nullif(F.regexp_replace(F.regexp_extract(block, rf"(?m)^{field}: (.*)$", 1), r'^"|"$', ""), F.lit(""))
+
+
+def yaml_scalar(value: Column) -> Column:
+    """A value as a YAML scalar: bare where plain, else quoted; null is ''."""
+    v = F.coalesce(value, F.lit(""))
+    quoted = F.concat(F.lit('"'), F.replace(F.replace(v, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    return F.when(v.rlike(r"^[A-Za-z0-9][A-Za-z0-9 ._/-]*$"), v).otherwise(quoted)
+
+
+def table_cell(value: Column) -> Column:
+    """A value inside a Markdown table: bars and line ends replaced."""
+    return F.trim(F.regexp_replace(F.replace(F.coalesce(value, F.lit("")), F.lit("|"), F.lit("/")), r"\s*\n\s*", " "))
+
+
+def numbered(items: Column) -> Column:
+    """`1. a\\n2. b`, `unavailable` for no items."""
+    made = F.array_join(F.transform(items, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x)), "\n")
+    return F.when(F.coalesce(F.size(items), F.lit(0)) > 0, made).otherwise(F.lit("unavailable"))
+
+
+def response_text(body: Column) -> Column:
+    """The text of a service's JSON answer: the first choice's message, the first text part, else the body as it is."""
+    return F.coalesce(F.get_json_object(body, "$.choices[0].message.content"), F.get_json_object(body, "$.content[0].text"), body)
+
+
+def typed(value: Column) -> Column:
+    """kind of a setting written as text: null, bool, int, float or string."""
+    v = F.lower(F.trim(value))
+    return F.when(v.isNull() | v.isin("", "null", "~"), "null").when(v.isin("true", "false", "yes", "no", "on", "off"), "bool").when(v.rlike(r"^[+-]?\d+$"), "int").when(v.rlike(r"^[+-]?(\d+\.\d*|\.\d+)([e][+-]?\d+)?$"), "float").otherwise("string")
+
+
+def backoff(attempt: Column, base: float = 1.0, most: float = 10.0) -> Column:
+    """Seconds to wait before an attempt (from 1): doubling from `base` up to `most`."""
+    return F.least(F.lit(base) * F.pow(F.lit(2.0), attempt - 1), F.lit(most))

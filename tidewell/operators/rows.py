@@ -92,3 +92,15 @@ def admit(items: DataFrame, key: str, order: list[str], seen: DataFrame, queued:
         .otherwise("enqueued")
     )
     return out.withColumn("outcome", outcome).drop("_place", "_seen", "_queued", "_k", "_first", "_n", "_last")
+
+
+def merged(target: DataFrame, updates: DataFrame, key: str, keep: Column, columns: list[str]) -> DataFrame:
+    """key, the columns, and `action`: an upsert as one full outer join. A key of both sides is `kept` as in the target
+    where `keep` (over the target's columns) holds, else `reset` to the update; others are `untouched` or `inserted`.
+    Both sides have one row per key."""
+    t = target.select(F.col(key).alias("_tk"), F.struct(*columns).alias("_t"), keep.alias("_keep"))
+    u = updates.select(F.col(key).alias("_uk"), F.struct(*columns).alias("_u"))
+    action = F.when(F.col("_uk").isNull(), "untouched").when(F.col("_tk").isNull(), "inserted").when(F.col("_keep"), "kept").otherwise("reset")
+    both = t.join(u, F.col("_tk") == F.col("_uk"), "full_outer").withColumn("action", action)
+    row = F.when(F.col("action").isin("untouched", "kept"), F.col("_t")).otherwise(F.col("_u"))
+    return both.select(F.coalesce("_tk", "_uk").alias(key), row.alias("_r"), "action").select(key, "_r.*", "action")
