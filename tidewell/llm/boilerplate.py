@@ -7,7 +7,7 @@ each block with a node for its parent element, so that the children of one eleme
 them (a byline, a prompt between paragraphs) may still leave. The minimum cut is the labelling of least cost: nodes
 whose own capacity outweighs all their edges are settled first, which is exact, and augmenting paths cut the rest.
 
-The word part is naive Bayes over words and pairs of words (characters and pairs for Han), fitted on blocks whose place
+The word part is naive Bayes over pairs of words (of characters for Han), fitted on blocks whose place
 leaves little doubt (navigation, footers and link lists against paragraphs of the largest body of text), of at most
 `FIT_PAGES` pages. Everything else runs over all pages, whole.
 """
@@ -39,7 +39,7 @@ BODY = {"article": 1.5, "main": 1.0}
 PROSE = {"p", "li", "blockquote", "pre", "h1", "h2"}
 TAG = {"p": 0.8, "h1": 2.5, "h2": 1.2, "h3": -0.8, "h4": -0.5, "li": 0.4, "blockquote": 1.5, "pre": 1.0, "figcaption": -1.0, "small": -4.0, "span": -3.0, "a": -3.0, "div": -1.5, "td": -0.5}
 
-_TOKEN = re.compile(r"<!--.*?-->|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+)|<", re.S)
+_TOKEN = re.compile(r"<!--.*?-->|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+)|<", re.S)
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 _WORD = re.compile(r"[^\W\d_]+|0")
@@ -118,7 +118,8 @@ def blocks(raw: str) -> list[tuple[str, str, int, bool, float]]:
 
 
 def _terms(line: str, source: str) -> set:
-    """Words and pairs of words of a block; digits are one word, the source's name another."""
+    """Pairs of neighbouring words of a block and its ends; digits are one word, the source's name another. Single words
+    would tell furniture from prose by "you" and "not" alone."""
     low = _DIGITS.sub("0", line)
     if source:
         low = low.replace(source, " _site_ ")
@@ -128,7 +129,7 @@ def _terms(line: str, source: str) -> set:
             words.extend(w)
         else:
             words.append(w)
-    return {*words, *zip(words, words[1:])}
+    return set(zip(["^", *words], [*words, "$"]))
 
 
 def _weak(page: list[tuple]) -> list[int]:
@@ -168,7 +169,7 @@ def fit(rows: DataFrame, fit_pages: int = FIT_PAGES) -> dict:
         pages = pages.where(F.pmod(F.xxhash64("content_id"), F.lit(n)) < fit_pages)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[object, list[int]] = {}
+        seen: dict[tuple, list[int]] = {}
         for b in batches:
             for url, source, raw in zip(*(b.column(c).to_pylist() for c in ("url", "source", "raw"))):
                 page = blocks(raw)
@@ -177,14 +178,14 @@ def fit(rows: DataFrame, fit_pages: int = FIT_PAGES) -> dict:
                     if label >= 0:
                         for t in _terms(plain(text), site):
                             seen.setdefault(t, [0, 0])[label] += 1
-        keys = ["\t".join(t) if isinstance(t, tuple) else t for t in seen]
+        keys = ["\t".join(t) for t in seen]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())], ["term", "furniture", "article"])
 
     counted = pages.select("url", "source", "raw").mapInArrow(count, "term string, furniture bigint, article bigint")
     summed = counted.groupBy("term").agg(F.sum("furniture").alias("f"), F.sum("article").alias("a")).where("f + a > 1")
     got = [(r.term, r.f, r.a) for r in summed.collect()]  # the vocabulary of at most fit_pages pages
     nf, na = max(1, sum(x[1] for x in got)), max(1, sum(x[2] for x in got))
-    return {(tuple(t.split("\t")) if "\t" in t else t): math.log((f / nf * 1e6 + 5) / (a / na * 1e6 + 5)) * -1 for t, f, a in got}
+    return {tuple(t.split("\t")): math.log((f / nf * 1e6 + 5) / (a / na * 1e6 + 5)) * -1 for t, f, a in got}
 
 
 def costs(page: list[tuple], model: dict, site: str, memo: dict) -> list[float]:
