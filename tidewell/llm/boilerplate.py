@@ -24,9 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settle
+
 #: Pages the word model is fitted on, chosen by a hash of their id; the only bound in this operator.
 FIT_PAGES = 12_000
 #: Entries of the word model that are kept: those seen at least twice.
+#: The share of a site's pages from which on a paragraph that comes back is no article.
+AGAIN = 0.01
 CLIP, WORD_CLIP, NEW = 6.0, 5.0, 1.0
 NEIGHBOUR, NEIGHBOUR_APART, PARENT = 0.35, 0.1, 0.8
 
@@ -117,14 +121,17 @@ def blocks(raw: str) -> list[tuple[str, str, int, bool, float]]:
     return out
 
 
-def _terms(line: str, source: str) -> set:
-    """Pairs of neighbouring words of a block and its ends; digits are one word, the source's name another. Single words
-    would tell furniture from prose by "you" and "not" alone."""
-    low = _DIGITS.sub("0", line)
-    if source:
-        low = low.replace(source, " _site_ ")
+def _masked(text: str, site: str) -> str:
+    """A block's text with digits alike and the site's name as one word."""
+    low = _DIGITS.sub("0", plain(text))
+    return low.replace(site, " _site_ ") if site else low
+
+
+def _terms(masked: str) -> set:
+    """Pairs of neighbouring words of a block and its ends. Single words would tell furniture from prose by "you" and
+    "not" alone."""
     words: list[str] = []
-    for w in _WORD.findall(low):
+    for w in _WORD.findall(masked):
         if _HAN.search(w):
             words.extend(w)
         else:
@@ -168,24 +175,37 @@ def fit(rows: DataFrame, fit_pages: int = FIT_PAGES) -> dict:
     if n > fit_pages:
         pages = pages.where(F.pmod(F.xxhash64("content_id"), F.lit(n)) < fit_pages)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple, list[int]] = {}
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            out: list[tuple] = []
             for url, source, raw in zip(*(b.column(c).to_pylist() for c in ("url", "source", "raw"))):
                 page = blocks(raw)
                 site = _site(source, url)
-                for (text, *_), label in zip(page, _weak(page)):
-                    if label >= 0:
-                        for t in _terms(plain(text), site):
-                            seen.setdefault(t, [0, 0])[label] += 1
-        keys = ["\t".join(t) for t in seen]
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())], ["term", "furniture", "article"])
-
-    counted = pages.select("url", "source", "raw").mapInArrow(count, "term string, furniture bigint, article bigint")
+                out.append((site, None, None, None))  # counts the page
+                out.extend((site, _masked(p[0], site), label, p[1] in PROSE - {"h1", "h2"}) for p, label in zip(page, _weak(page)) if label >= 0)
+            cols = zip(*out) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, (pa.string(), pa.string(), pa.int32(), pa.bool_()))], ["site", "text", "label", "prose"])
+
+    found = settle(pages.select("url", "source", "raw").mapInArrow(cut, "site string, text string, label int, prose boolean"), "labelled")
+    sizes = found.where("text IS NULL").groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
+    lines = found.where("text IS NOT NULL").groupBy("site", "text", "label", "prose").agg(F.count(F.lit(1)).alias("n")).join(sizes, "site")
+    # a paragraph that comes back on a site's pages is a prompt set as one
+    again = F.col("prose") & (F.col("n") >= 5) & (F.col("n") >= F.col("pages") * AGAIN)
+    lines = lines.select("text", "n", F.when(again, F.lit(0)).otherwise(F.col("label")).alias("label"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple, list[int]] = {}
+        for b in batches:
+            for text, n, label in zip(*(b.column(c).to_pylist() for c in ("text", "n", "label"))):
+                for t in _terms(text):
+                    seen.setdefault(t, [0, 0])[label] += n
+        yield pa.RecordBatch.from_arrays([pa.array(["\t".join(t) for t in seen], pa.string()), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())], ["term", "furniture", "article"])
+
+    counted = lines.mapInArrow(count, "term string, furniture bigint, article bigint")
     summed = counted.groupBy("term").agg(F.sum("furniture").alias("f"), F.sum("article").alias("a")).where("f + a > 1")
-    got = [(r.term, r.f, r.a) for r in summed.collect()]  # the vocabulary of at most fit_pages pages
+    got = [(r.term, r.f, r.a) for r in summed.collect()]  # the vocabulary of about fit_pages pages
     nf, na = max(1, sum(x[1] for x in got)), max(1, sum(x[2] for x in got))
-    return {tuple(t.split("\t")): math.log((f / nf * 1e6 + 5) / (a / na * 1e6 + 5)) * -1 for t, f, a in got}
+    return {tuple(t.split("\t")): -math.log((f / nf * 1e6 + 5) / (a / na * 1e6 + 5)) for t, f, a in got}
 
 
 def costs(page: list[tuple], model: dict, site: str, memo: dict) -> list[float]:
@@ -196,7 +216,7 @@ def costs(page: list[tuple], model: dict, site: str, memo: dict) -> list[float]:
         key = (text, site, prose) if len(text) < 200 else None  # short blocks come back on many pages
         words = memo.get(key) if key else None
         if words is None:
-            terms = _terms(plain(text), site)
+            terms = _terms(_masked(text, site))
             known = [model[t] for t in terms if t in model]
             # in elements of prose, terms never seen speak for content: furniture says the same on many pages
             total = sum(known) + (NEW * (len(terms) - len(known)) if prose else 0.0)
