@@ -26,6 +26,7 @@ CASES = [
     ("Jun 10, 2025 12:15 AM", "UTC", True, "2025-06-10T00:15:00Z"),
     ("2025年3月22日 下午7:28", "Asia/Shanghai", True, "2025-03-22T11:28:00Z"),
     ("2024-10-04 06:37:57 UTC-7", "UTC", True, "2024-10-04T13:37:57Z"),
+    ("2024-10-04 06:37 -03", "UTC", True, "2024-10-04T09:37:00Z"),
     ("2024-10-27 02:30", "Europe/Berlin", True, "2024-10-27T00:30:00Z"),  # shown twice: the first
     ("2024-10-27 02:30 CET", "Europe/Berlin", True, "2024-10-27T00:30:00Z"),
     ("2025-03-30 02:30", "Europe/Berlin", True, "2025-03-30T01:30:00Z"),  # skipped: moved forward

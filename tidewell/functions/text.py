@@ -50,7 +50,7 @@ def strip_tags(html: Column) -> Column:
 
 def sentences(text: Column) -> Column:
     """Sentences: cut after . ! ? before white space, at line ends, and after the Chinese full stops."""
-    return F.filter(F.transform(F.split(text, r"(?<=[.!?])[ \t]+|(?<=[。!?])|\n+"), lambda s: F.trim(s)), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, r"(?<=[.!?])[ \t]+|(?<=[。!?])\n*|\n+"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def hits(text: Column, terms: list[str]) -> Column:

@@ -39,7 +39,7 @@ MONTH_NAMES = {
 }
 
 _TIME = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,]\d+)?)?"
-_ZONE = r"(Z|[+-]\d{2}:?\d{2}|(?:UTC|GMT)[+-]\d{1,2}(?::?\d{2})?|[A-Z]{2,5})"
+_ZONE = r"(Z|[+-]\d{2}(?::?\d{2})?|(?:UTC|GMT)[+-]\d{1,2}(?::?\d{2})?|[A-Z]{2,5})"
 _NAME = r"(\p{L}{3,12})\.?"
 _WEEKDAY = r"(?:\p{L}{2,12}\.?,? +)?"
 

@@ -312,12 +312,22 @@ def keyword_relevance_topk(t):
     return t("documents").select("doc_id", (h["ai"] + h["infra"] + F.least(h["finance"], F.lit(2))).alias("relevance")).orderBy(F.desc("relevance"), "doc_id").limit(8)
 
 
-@query()
+@query(r"""WITH s AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(regexp_replace(text, '([.!?])[ \t]+', '\1' || chr(1), 'g'), '([。!?])', '\1' || chr(1), 'g'), '\n+', chr(1), 'g'), chr(1)) AS l FROM documents),
+e AS (SELECT doc_id, trim(unnest(l)) AS sentence, generate_subscripts(l, 1) AS i FROM s),
+w AS (SELECT *, 3 * (CAST(contains(lower(sentence), 'revenue') AS INT) + CAST(contains(lower(sentence), 'renewed') AS INT) + CAST(contains(lower(sentence), 'percent') AS INT)) + 2 * CAST(contains(sentence, '$') AS INT)
+  + 2 * CAST(regexp_matches(sentence, '[0-9] ?(%|percent|million|billion)') AS INT) AS w FROM e WHERE sentence <> '' AND length(sentence) BETWEEN 50 AND 320)
+SELECT doc_id, CAST(k AS INT) AS rank, sentence FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, i) AS k FROM w) WHERE k <= 3""")
 def evidence_sentences(t):
     return content.evidence(t("documents"), "doc_id", TERMS)
 
 
-@query()
+@query(r"""WITH p AS (SELECT doc_id, trim(unnest(string_split_regex(text, '\n+'))) AS p, generate_subscripts(string_split_regex(text, '\n+'), 1) AS k FROM documents WHERE length(text) > 10000),
+d AS (SELECT doc_id, p, min(k) AS k FROM p WHERE length(p) >= 20 GROUP BY doc_id, p),
+i AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS i, count(*) OVER (PARTITION BY doc_id) AS n FROM d),
+w AS (SELECT *, 2 * CAST(i < 3 OR i >= n - 3 AS INT) + CAST(regexp_matches(p, '[0-9]') AS INT) + CAST(contains(lower(p), 'percent') AS INT) + CAST(contains(lower(p), 'million') AS INT) + CAST(contains(lower(p), 'revenue') AS INT)
+  + CAST(contains(lower(p), 'customer') AS INT) + CAST(contains(lower(p), 'risk') AS INT) AS w FROM i),
+b AS (SELECT doc_id, substr(string_agg(p, chr(10) || chr(10) ORDER BY i), 1, 8000) AS text FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, i) AS r FROM w) WHERE r <= 15 GROUP BY doc_id)
+SELECT o.doc_id, length(coalesce(o.text, '')) AS n_before, length(t) AS n_after, t AS text FROM (SELECT d.doc_id, d.text, CASE WHEN length(d.text) > 10000 THEN coalesce(b.text, '') ELSE coalesce(d.text, '') END AS t FROM documents d LEFT JOIN b USING (doc_id)) o""")
 def long_text_compress(t):
     return content.compressed(t("documents"), "doc_id")
 
