@@ -101,3 +101,13 @@ def test_ledger_and_files(spark, tmp_path):
     made = sinks.markdown(docs, ["title"], F.col("title"), F.col("text"))
     manifest = sinks.write_files(made, f"{tmp_path}/out").collect()
     assert len(manifest) == 2 and all((tmp_path / "out" / m.file_name).stat().st_size == m.n_bytes for m in manifest)
+
+
+def test_quotes(spark, monkeypatch):
+    items = spark.createDataFrame([(1, "abcdef"), (2, "abc"), (3, ""), (4, None), (5, "abc")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "xxabcabcdefabc"), (2, "ab"), (3, None), (None, "abc")], "doc_id long, text string").withColumn("quote", F.lit("x"))
+    want = {(1, 1), (2, 1), (5, 1), (2, None), (5, None)}
+    assert {tuple(r) for r in content.quotes_located(items, docs).collect()} == want
+    monkeypatch.setattr(content, "MOST_QUOTES", 1)
+    assert {tuple(r) for r in content.quotes_located(items, docs).collect()} == want
+    assert content.quotes_located(items.limit(0), docs).count() == 0

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,13 +88,40 @@ def json_contract(raw: Column, required: list[str], numeric: dict[str, tuple[flo
     return out
 
 
+#: Quotes are sent to the tasks, and searched for all at once, up to so many; beyond it they meet the texts in a join.
+MOST_QUOTES = 200_000
+
+
 def quotes_located(items: DataFrame, docs: DataFrame, chars: int = 60) -> DataFrame:
-    """item_id, doc_id: documents that contain the first `chars` characters of an item. The items are a stated set; they
-    are broadcast where few."""
-    from .rows import small
+    """item_id, doc_id: documents that contain the first `chars` characters of an item, each pair once.
 
-    probe = items.select("item_id", F.substring("text", 1, chars).alias("quote")).where("quote <> ''")
-    return docs.join(small(probe, 10_000), F.contains(docs["text"], F.col("quote"))).select("item_id", "doc_id")
+    items: item_id, text; docs: doc_id, text. Null and empty texts match nothing. All quotes are found in one pass over
+    each text, by an automaton, so the work does not grow with their number.
+    """
+    probe = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.substring("text", 1, chars).alias("quote")).where("quote <> ''")
+    n = probe.limit(MOST_QUOTES + 1).count()
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text IS NOT NULL")
+    if n > MOST_QUOTES:
+        return texts.join(probe, F.contains("text", "quote")).select("item_id", "doc_id").distinct()
+    by_quote: dict[str, list[int]] = {}
+    for r in probe.collect():  # at most MOST_QUOTES
+        by_quote.setdefault(r.quote, []).append(r.item_id)
+    shared = docs.sparkSession.sparkContext.broadcast(by_quote)
+    made: dict = {}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not made:
+            import ahocorasick
+
+            made["a"] = automaton = ahocorasick.Automaton()
+            for q, ids in shared.value.items():
+                automaton.add_word(q, ids)
+            automaton.make_automaton()
+        for b in batches:
+            out = sorted({(i, d) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()) for _, ids in (made["a"].iter(t) if shared.value else ()) for i in ids}, key=str)
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["item_id", "doc_id"])
+
+    return texts.mapInArrow(run, "item_id bigint, doc_id bigint").distinct()
 
 
 def links(pages: DataFrame, row_id: str) -> DataFrame:

@@ -105,7 +105,7 @@ def bundle_cross_eval(t):
     return scores.groupBy("stored").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(bundles), F.col("bundle") != F.col("stored")).select("bundle", "stored", "n")
 
 
-@query("SELECT b.item_id, d.doc_id FROM documents d JOIN benchmark b ON contains(d.text, substr(b.text, 1, 60)) WHERE substr(b.text, 1, 60) <> ''")
+@query("SELECT DISTINCT b.item_id, d.doc_id FROM documents d JOIN benchmark b ON contains(d.text, substr(b.text, 1, 60)) WHERE substr(b.text, 1, 60) <> ''")
 def quote_locatable(t):
     return content.quotes_located(t("benchmark"), t("documents"))
 
