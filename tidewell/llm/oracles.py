@@ -19,8 +19,16 @@ size AS (SELECT source, count(*) AS n_source FROM fetched_content WHERE source I
 named AS (SELECT n.source, norm, count(DISTINCT content_id) AS n_rows FROM n JOIN size ON size.source = n.source WHERE norm <> ''
   GROUP BY n.source, norm, n_source HAVING count(DISTINCT content_id) >= 5 AND count(DISTINCT content_id) * 20 >= n_source)
 """
+_P8 = r"""WITH d AS (SELECT doc_id, regexp_replace(lower(text), '[^\p{L}\p{N}]+', '', 'g') AS t FROM documents), i AS (SELECT item_id, regexp_replace(lower(text), '[^\p{L}\p{N}]+', '', 'g') AS t FROM benchmark),
+dw AS (SELECT doc_id, substr(t, k, 80) AS w FROM d, LATERAL (SELECT unnest(range(1, length(t) - 78)) AS k)), iw AS (SELECT DISTINCT item_id, substr(t, k, 80) AS w FROM i, LATERAL (SELECT unnest(range(1, length(t) - 78)) AS k))
+"""
+_P10 = """WITH w AS (SELECT DISTINCT doc_id, md5(substr(text, k, 300)) AS w FROM documents, LATERAL (SELECT unnest(range(1, length(text) - 298)) AS k)),
+many AS (SELECT w FROM w GROUP BY w HAVING count(*) > 1), s AS (SELECT w.* FROM w SEMI JOIN many ON many.w = w.w)
+"""
 
 ORACLE: dict[str, str] = {
+    "p8_found": _P8 + "SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (w)",
+    "p10_found": _P10 + "SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM s a JOIN s b ON a.w = b.w AND a.doc_id < b.doc_id",
     "p2_found": _P2 + "SELECT content_id FROM rec JOIN cut USING (source) WHERE score >= cutoff",
     "p2_cutoffs": _P2 + "SELECT source, keep_percent, n AS n_records, (SELECT count(*) FROM rec WHERE rec.source = cut.source AND score >= cutoff) AS n_kept, cutoff FROM cut",
     "p4_found": _P4 + "SELECT content_id, CAST(line_no AS INT) AS line_no FROM n JOIN named USING (source, norm)",
