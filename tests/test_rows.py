@@ -54,8 +54,18 @@ def test_admission(spark):
 
 
 def test_streaks(spark):
-    df = spark.createDataFrame([(i, "a", x) for i, x in enumerate([1, 1, 0, 1, 1, 1, 0])], "i int, k string, f int")
-    assert [r.streak for r in rows.streaks(df, "k", ["i"], F.col("f") == 1).orderBy("i").collect()] == [1, 2, 0, 1, 2, 3, 0]
+    import random
+
+    r = random.Random(3)
+    data = [(i, r.choice(["a", "a", "b", None]), int(r.random() < 0.85)) for i in range(400)]
+    df = spark.createDataFrame(data, "i int, k string, f int")
+    want, now = [], {}
+    for _, k, f in data:
+        now[k] = now.get(k, 0) + 1 if f else 0
+        want.append(now[k])
+    for chunks in (1, 7, 64):
+        assert [x.streak for x in rows.streaks(df, "k", "i", F.col("f") == 1, chunks).orderBy("i").collect()] == want
+    assert rows.streaks(df.limit(0), "k", "i", F.col("f") == 1).count() == 0
 
 
 def test_zero_filled_and_drift(spark):

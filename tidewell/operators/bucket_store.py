@@ -40,7 +40,7 @@ class Runs:
         """Store rows as the run `run`, replacing an earlier one of that name and nothing else."""
         placed = rows.withColumn("run", F.lit(run)).repartition(self.buckets, self.key)
         if not self._made:
-            w = placed.write.format("parquet").option("path", self.path).partitionBy("run")
+            w = placed.write.format("parquet").option("compression", "zstd").option("path", self.path).partitionBy("run")
             w.bucketBy(self.buckets, self.key).sortBy(*self.sort).saveAsTable(self.name)
             self._made = True
             return

@@ -26,11 +26,13 @@ def last_per(df: DataFrame, key: Column, order: list[str]) -> DataFrame:
     return last.select("_row.*")
 
 
-def top_per(df: DataFrame, key: str, order: list[Column], n: int | Column) -> DataFrame:
-    """The first n rows of each key; Spark cuts each task's share to n before the shuffle where n is a number."""
+def top_per(df: DataFrame, key: str, order: list[Column], n: int | Column, most: int | None = None) -> DataFrame:
+    """The first n rows of each key. Spark cuts each task's share to n (to `most` where n is a column) before the
+    shuffle, so a hot key sends a few rows per task."""
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     out = df.withColumn("_rank", rank)
-    return out.where(F.col("_rank") <= n).drop("_rank")
+    out = out.where(F.col("_rank") <= (n if isinstance(n, int) else most)) if isinstance(n, int) or most is not None else out
+    return (out if isinstance(n, int) else out.where(F.col("_rank") <= n)).drop("_rank")
 
 
 def unseen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
@@ -61,12 +63,34 @@ def drift(stored: DataFrame, current: DataFrame, key: str, value: str) -> DataFr
     return both.where("stored <> '' AND current <> '' AND stored <> current").select(key, "stored", "current")
 
 
-def streaks(df: DataFrame, key: str, order: list[str], failed: Column) -> DataFrame:
-    """The rows with `streak`, the number of failures in a row up to each, reset by every success."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    marked = df.withColumn("_f", failed.cast("int")).withColumn("_island", F.sum(1 - F.col("_f")).over(w))
-    run = Window.partitionBy(key, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return marked.withColumn("streak", F.sum("_f").over(run).cast("bigint")).drop("_f", "_island")
+def streaks(df: DataFrame, key: str, order: str, failed: Column, chunks: int = 64) -> DataFrame:
+    """The rows with `streak`, the number of failures in a row up to each, reset by every success; `order` is numeric.
+
+    A key's rows are cut into ranges of the order (by quantiles of the whole table), so that a hot key is worked on in
+    pieces; what a piece carries over from those before it is found on one row per key and piece. A row without order
+    value counts as the first.
+    """
+    shares = [i / chunks for i in range(1, chunks)]
+    cuts = sorted(set(df.agg(F.percentile_approx(order, shares, chunks * 20)).first()[0] or [])) if shares else []
+    piece = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col(order))) if cuts else F.lit(0)
+    marked = df.withColumn("_f", F.coalesce(failed, F.lit(False)).cast("int")).withColumn("_piece", F.coalesce(piece, F.lit(0)))
+    so_far = Window.partitionBy(key, "_piece").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    marked = marked.withColumn("_island", F.sum(1 - F.col("_f")).over(so_far))
+    run = Window.partitionBy(key, "_piece", "_island").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    local = marked.withColumn("_run", F.sum("_f").over(run))
+    # of each piece: the successes in it and the failures it ends with
+    ends = local.groupBy(key, "_piece").agg(F.max("_island").alias("_s"))
+    tails = local.join(ends.select(F.col(key).alias("_k"), F.col("_piece").alias("_p"), "_s"), F.col(key).eqNullSafe(F.col("_k")) & (F.col("_piece") == F.col("_p")) & (F.col("_island") == F.col("_s")))
+    tails = tails.groupBy(key, "_piece").agg(F.max("_run").alias("_tail"))
+    line = ends.join(tails.select(F.col(key).alias("_k"), F.col("_piece").alias("_p"), "_tail"), F.col(key).eqNullSafe(F.col("_k")) & (F.col("_piece") == F.col("_p")))
+    w = Window.partitionBy(key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, 0)  # over at most `chunks` rows
+    line = line.withColumn("_g", F.sum((F.col("_s") > 0).cast("int")).over(w))
+    inside = Window.partitionBy(key, "_g").orderBy("_piece").rowsBetween(Window.unboundedPreceding, 0)
+    line = line.withColumn("_end", F.sum("_tail").over(inside))
+    carried = line.select(F.col(key).alias("_k"), F.col("_piece").alias("_p"), F.coalesce(F.lag("_end").over(Window.partitionBy(key).orderBy("_piece")), F.lit(0)).alias("_carry"))
+    out = local.join(small(carried), F.col(key).eqNullSafe(F.col("_k")) & (F.col("_piece") == F.col("_p")))
+    streak = F.col("_run") + F.when(F.col("_island") == 0, F.col("_carry")).otherwise(F.lit(0))
+    return out.withColumn("streak", streak.cast("bigint")).select(*df.columns, "streak")
 
 
 def admit(items: DataFrame, key: str, order: list[str], seen: DataFrame, queued: DataFrame, queue_key: str, limit: int) -> DataFrame:

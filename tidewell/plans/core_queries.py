@@ -165,10 +165,9 @@ def outbox_zero_filled_counts(t):
     return rows.zero_filled(t("outbox_item"), "state", STATES)
 
 
-@query("SELECT source, string_agg(output_path, '|' ORDER BY output_path) AS files, count(*) AS n FROM (SELECT DISTINCT source, output_path FROM queue_task WHERE status = 'done' AND output_path <> '') GROUP BY 1")
+@query("SELECT DISTINCT source, output_path FROM queue_task WHERE status = 'done' AND output_path <> ''")
 def done_files(t):
-    done = t("queue_task").where("status = 'done' AND output_path <> ''").select("source", "output_path").distinct()
-    return done.groupBy("source").agg(F.array_join(F.array_sort(F.collect_list("output_path")), "|").alias("files"), F.count(F.lit(1)).alias("n"))
+    return t("queue_task").where("status = 'done' AND output_path <> ''").select("source", "output_path").distinct()
 
 
 @query("SELECT source_type, round(avg(CASE WHEN text IS NOT NULL AND trim(text) <> '' THEN 100.0 ELSE 0.0 END), 6) AS success_rate, count(*) AS n FROM fetched_content GROUP BY 1")
@@ -182,18 +181,23 @@ def distinct_counts(t):
     return t("score_result").agg(F.countDistinct("content_id").alias("n_contents"), F.countDistinct("prompt_hash").alias("n_prompts"), F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT source, sha256(string_agg(h, '' ORDER BY h)) AS source_hash FROM (SELECT DISTINCT source, content_hash AS h FROM fetched_content WHERE content_hash IS NOT NULL) GROUP BY 1")
+@query("""WITH h AS (SELECT DISTINCT source, content_hash AS h FROM fetched_content WHERE content_hash IS NOT NULL), b AS (SELECT source, substr(h, 1, 3) AS p, sha256(string_agg(h, '' ORDER BY h)) AS d FROM h GROUP BY ALL)
+SELECT source, sha256(string_agg(d, '' ORDER BY p)) AS source_hash FROM b GROUP BY 1""")
 def source_hash(t):
-    h = t("fetched_content").where("content_hash IS NOT NULL").select("source", "content_hash").distinct()
-    return h.groupBy("source").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("content_hash")), ""), 256).alias("source_hash"))
+    """A digest per source of its contents' hashes: of the digests of up to 4096 ranges, so no task gathers a source."""
+    h = t("fetched_content").where("content_hash IS NOT NULL").select("source", F.col("content_hash").alias("h"), F.substring("content_hash", 1, 3).alias("p")).distinct()
+    ranges = h.groupBy("source", "p").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("d"))
+    ordered = F.array_sort(F.collect_list(F.struct("p", "d")))
+    return ranges.groupBy("source").agg(F.sha2(F.array_join(F.transform(ordered, lambda x: x["d"]), ""), 256).alias("source_hash"))
 
 
 # Windows, sorts and limits -------------------------------------------------------------------------------------------
 @query("SELECT item_id, source_id FROM (SELECT i.item_id, i.source_id, c.max_items, row_number() OVER (PARTITION BY i.source_id ORDER BY i.priority, i.item_id) AS k FROM source_item i JOIN source_config c ON c.id = i.source_id WHERE c.enabled) WHERE k <= max_items")
 def per_source_limit(t):
     config = t("source_config").where("enabled").select(F.col("id").alias("source_id"), "max_items")
+    most = config.agg(F.coalesce(F.max("max_items"), F.lit(0))).first()[0]
     items = t("source_item").select("item_id", "source_id", "priority").join(rows.small(config), "source_id")
-    return rows.top_per(items, "source_id", [F.col("priority"), F.col("item_id")], F.col("max_items")).select("item_id", "source_id")
+    return rows.top_per(items, "source_id", [F.col("priority"), F.col("item_id")], F.col("max_items"), most).select("item_id", "source_id")
 
 
 @query(f"""WITH i AS (SELECT item_id, priority, url, {_NORM} AS u FROM source_item), q AS (SELECT DISTINCT url FROM queue_task), s AS (SELECT DISTINCT {_NORM} AS u FROM queue_task WHERE batch_no = 0),
@@ -245,7 +249,7 @@ def outbox_claim_topk(t):
 SELECT id, CAST(sum(f) OVER (PARTITION BY source, g ORDER BY id) AS BIGINT) AS streak FROM g""")
 def failure_streaks(t):
     q = t("queue_task").select("id", "source", "status")
-    return rows.streaks(q, "source", ["id"], F.col("status").isin("failed_terminal", "rejected")).select("id", "streak")
+    return rows.streaks(q, "source", "id", F.col("status").isin("failed_terminal", "rejected")).select("id", "streak")
 
 
 @query("SELECT delivery_id, a.attempt AS attempt, a.status AS status, row_number() OVER (PARTITION BY delivery_id ORDER BY a.started_at, a.attempt) AS ordinal FROM (SELECT delivery_id, unnest(delivery_attempts) AS a FROM outbox_item)")

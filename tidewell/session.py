@@ -84,7 +84,7 @@ def settle(df: DataFrame, what: str, partition_by: list[str] | None = None) -> D
     """
     spark = df.sparkSession
     path = scratch_path(spark, what)
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").option("compression", "zstd")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
