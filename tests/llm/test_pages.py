@@ -66,3 +66,20 @@ def test_residue(spark):
     assert (104, 0) in {tuple(r) for r in residue.residue_lines(df).collect()}
     assert "first_paragraph" not in {r.content_id: r.text for r in residue.real_text(df).collect()}[101]
     assert residue.residue_rows(df.limit(0)).count() == 0
+
+
+def test_fragments_are_pages(spark):
+    r = random.Random(5)
+    rows = []
+    for i in range(60):
+        word = lambda: "".join(r.choice("abcdefghijkl") for _ in range(6))
+        body = [" ".join(word() for _ in range(25)) + "." for _ in range(5)]
+        lines = [f"{word()} {word()} {word()}", f"By {word()} {word()}", f"Viewed {r.randint(1, 10**6)} times", *body, "Follow Site for daily news", "Privacy Terms Site"]
+        inner = f"<h1>{lines[0]}</h1><span>{lines[1]}</span><small>{lines[2]}</small>" + "".join(f"<p>{x}</p>" for x in body)
+        inner = [f'<div id="c">{inner}</div>', f"<table><tr><td>{inner}</td></tr></table>", f"<main>{inner}</main>"][i % 3]
+        rows.append((i, f"https://site.example/{i}", "site", "T", "\n".join(lines), f"{inner}<div>{lines[-2]}</div><div><span>{lines[-1]}</span></div>"))
+    same = "A post that says <p> and <div> of itself.\nFollow Site for daily news"
+    df = spark.createDataFrame([*rows, (900, None, "site", "T", same, same), (901, None, "site", "T", "a < b", "a < b, c > d")], SCHEMA)
+    assert {tuple(x) for x in boilerplate.boilerplate_lines(df).collect()} == {(i, k) for i in range(60) for k in (2, 3, 9, 10)}
+    texts = {x.content_id: x.text for x in boilerplate.main_text(df).collect()}
+    assert texts[0].count("\n") == 5 and texts[900] == same and texts[901] == "a < b" and len(texts) == 62

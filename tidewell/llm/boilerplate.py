@@ -44,15 +44,18 @@ PROSE = {"p", "li", "blockquote", "pre", "h1", "h2"}
 TAG = {"p": 0.8, "h1": 2.5, "h2": 1.2, "h3": -0.8, "h4": -0.5, "li": 0.4, "blockquote": 1.5, "pre": 1.0, "figcaption": -1.0, "small": -4.0, "span": -3.0, "a": -3.0, "div": -1.5, "td": -0.5}
 
 _TOKEN = re.compile(r"<!--.*?-->|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+)|<", re.S)
+_ELEMENT = r"(?i)<(?:a|abbr|address|article|aside|audio|b|blockquote|body|br|button|center|cite|code|dd|del|details|dialog|div|dl|dt|em|embed|fieldset|figcaption|figure|font|footer|form|h[1-6]|head|header|hr|html|i|iframe|img|input|ins|label|li|link|main|mark|menu|meta|nav|noscript|ol|option|p|picture|pre|q|s|script|section|select|small|source|span|strong|style|sub|summary|sup|svg|table|tbody|td|template|tfoot|th|thead|time|title|tr|u|ul|video|wbr)(?=[\s/>])"
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 _WORD = re.compile(r"[^\W\d_]+|0")
 _HAN = re.compile(r"[㐀-鿿]")
 
 
-def is_html(raw: Column) -> Column:
-    """Whether a page's raw form is HTML."""
-    return raw.rlike(r"(?is)^\s*(?:<\?xml[^>]*>\s*)?(?:<!--.*?-->\s*)*<(?:!doctype\s+html|html|head|body)\b")
+def is_html(raw: Column, text: Column) -> Column:
+    """Whether a page's raw form is HTML: a whole document, or a fragment, which holds an element and is not the text
+    itself. Never null."""
+    whole = raw.rlike(r"(?is)^\s*(?:<\?xml[^>]*>\s*)?(?:<!--.*?-->\s*)*<(?:!doctype\s+html|html|head|body)\b")
+    return F.coalesce(whole | (~raw.eqNullSafe(text) & raw.rlike(_ELEMENT)), F.lit(False))
 
 
 def plain(text: str) -> str:
@@ -166,11 +169,11 @@ def _site(source: str | None, url: str | None) -> str:
 
 
 def fit(rows: DataFrame, fit_pages: int = FIT_PAGES) -> dict:
-    """The word model: term -> logarithm of the odds for the article. rows: content_id, url, source, raw.
+    """The word model: term -> logarithm of the odds for the article. rows: content_id, url, source, text, raw.
 
     The pages are those whose id hashes below a limit that lets through about `fit_pages` of them.
     """
-    pages = rows.where(is_html(F.col("raw")))
+    pages = rows.where(is_html(F.col("raw"), F.col("text")))
     n = pages.count()
     if n > fit_pages:
         pages = pages.where(F.pmod(F.xxhash64("content_id"), F.lit(n)) < fit_pages)
@@ -369,7 +372,7 @@ def _labelled(rows: DataFrame, model: dict, want: str, schema: str) -> DataFrame
                     second.append("\n".join(t for t, x in zip(text.split("\n"), labels) if x is not False))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(second, pa.int32() if want == "lines" else pa.string())], names)
 
-    pages = rows.where(is_html(F.col("raw")) & F.col("text").isNotNull() & (F.col("text") != ""))
+    pages = rows.where(is_html(F.col("raw"), F.col("text")) & F.col("text").isNotNull() & (F.col("text") != ""))
     return pages.select(F.col("content_id").cast("bigint").alias("content_id"), "url", "source", "text", "raw").mapInArrow(run, schema)
 
 
@@ -385,5 +388,5 @@ def main_text(rows: DataFrame, model: dict | None = None) -> DataFrame:
     """content_id, text: the article of every row; a row that is no page keeps its text, null stays null."""
     model = fit(rows) if model is None else model
     pages = _labelled(rows, model, "text", "content_id bigint, text string")
-    other = rows.where(~F.coalesce(is_html(F.col("raw")), F.lit(False)) | F.col("text").isNull() | (F.col("text") == ""))
+    other = rows.where(~is_html(F.col("raw"), F.col("text")) | F.col("text").isNull() | (F.col("text") == ""))
     return pages.unionByName(other.select(F.col("content_id").cast("bigint").alias("content_id"), "text"))
