@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidewell.llm import boilerplate, residue
+from tidewell.llm import boilerplate, incremental, residue
 
 PROSE = "The company said that revenue rose in the second quarter while costs in the north fell and {} customers renewed contracts for another year."
 
@@ -83,3 +83,24 @@ def test_fragments_are_pages(spark):
     assert {tuple(x) for x in boilerplate.boilerplate_lines(df).collect()} == {(i, k) for i in range(60) for k in (2, 3, 9, 10)}
     texts = {x.content_id: x.text for x in boilerplate.main_text(df).collect()}
     assert texts[0].count("\n") == 5 and texts[900] == same and texts[901] == "a < b" and len(texts) == 62
+
+
+def _sited(r, i, body=None):
+    word = lambda: "".join(r.choice("abcdefghijkl") for _ in range(6))
+    body = body or [" ".join(word() for _ in range(25)) + "." for _ in range(5)]
+    return (i, f"https://site.example/{i}", "site", f"{word()} {word()}", "\n".join(["Home", "About", *body, "All rights reserved by the site and its partners."]), None)
+
+
+def test_copies_are_no_furniture(spark):
+    r = random.Random(8)
+    rows = [_sited(r, i) for i in range(100)]
+    body = rows[0][4].split("\n")[2:-1]
+    same = [_sited(r, 200 + k, body) for k in range(60)]
+    other = rows[1][4].split("\n")[2:-1]
+    edited = [_sited(r, 300 + k, [x if j != k % 5 else x.replace(x.split()[k], f"changed{k}") for j, x in enumerate(other)]) for k in range(20)]
+    df = spark.createDataFrame(rows + same + edited, SCHEMA)
+    texts = {x.content_id: x.text for x in residue.real_text(df).collect()}
+    assert all(texts[x[0]] == "\n".join(x[4].split("\n")[2:-1]) for x in rows + same + edited)
+    tasks = df.select(F.col("content_id").alias("id"), "url", (F.col("content_id") >= 100).cast("int").alias("batch_no"))
+    got = {tuple(x) for x in incremental.repeated_tasks(tasks, df.select("content_id", "url"), residue.real_text(df)).collect()}
+    assert got == {(0, x[0]) for x in same} | {(1, x[0]) for x in edited}

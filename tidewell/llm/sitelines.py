@@ -87,7 +87,7 @@ def repeated_lines(rows: DataFrame, min_rows: int = 5, min_share: float = 0.05,
     return significant.where((F.col("n") >= min_rows) & (F.col("n") >= F.col("n_source") * min_share - 1e-9)).select("source", "h", F.col("n").alias("n_rows"), "n_source", "n_outside", "llr", "only_here")
 
 
-def _with_named(rows: DataFrame, named: DataFrame) -> DataFrame:
+def with_named(rows: DataFrame, named: DataFrame) -> DataFrame:
     """row (the whole row), named_lines: the hashes of its source's lines to remove."""
     named = settle(named.select("source", "h"), "named")
     by_source = named.groupBy(F.col("source").alias("named_source")).agg(F.collect_set("h").alias("named_lines"))
@@ -100,18 +100,15 @@ def _with_named(rows: DataFrame, named: DataFrame) -> DataFrame:
 def marked(rows: DataFrame, named: DataFrame, row_id: str) -> DataFrame:
     """row_id, line_no (from 1), source, line: every line to remove, where it stands."""
     picked = rows.select(F.col(row_id), "source", "text").where("source IS NOT NULL AND text IS NOT NULL")
-    hit = _with_named(picked, named).where("named_lines IS NOT NULL").select("row.*", "named_lines")
+    hit = with_named(picked, named).where("named_lines IS NOT NULL").select("row.*", "named_lines")
     numbered = F.transform(_lines(F.col("text")), lambda x, i: F.struct((i + 1).alias("line_no"), x.alias("line"), norm(x).alias("norm")))
     mine = F.filter(numbered, lambda x: (x["norm"] != "") & F.array_contains(F.col("named_lines"), F.xxhash64(x["norm"])))
     return hit.select(row_id, "source", F.explode(mine).alias("l")).select(row_id, "source", "l.line_no", "l.line")
 
 
-def cleaned(rows: DataFrame, named: DataFrame, blank: bool = False) -> DataFrame:
-    """The rows, all columns kept, with `text` freed of its source's repeated lines; a null text stays null. With
-    `blank` the lines are emptied instead, so that the others keep their numbers."""
+def cleaned(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """The rows, all columns kept, with `text` freed of its source's repeated lines; a null text stays null."""
     # a blank line's hash is never named, as blank lines are not counted
-    repeated = lambda x: F.array_contains(F.col("named_lines"), F.xxhash64(norm(x)))
-    lines = _lines(F.col("row.text"))
-    kept = F.transform(lines, lambda x: F.when(repeated(x), F.lit("")).otherwise(x)) if blank else F.filter(lines, lambda x: ~repeated(x))
+    kept = F.filter(_lines(F.col("row.text")), lambda x: ~F.array_contains(F.col("named_lines"), F.xxhash64(norm(x))))
     text = F.when(F.col("named_lines").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
-    return _with_named(rows, named).select(F.col("row").withField("text", text).alias("row")).select("row.*")
+    return with_named(rows, named).select(F.col("row").withField("text", text).alias("row")).select("row.*")
