@@ -104,3 +104,13 @@ def test_copies_are_no_furniture(spark):
     tasks = df.select(F.col("content_id").alias("id"), "url", (F.col("content_id") >= 100).cast("int").alias("batch_no"))
     got = {tuple(x) for x in incremental.repeated_tasks(tasks, df.select("content_id", "url"), residue.real_text(df)).collect()}
     assert got == {(0, x[0]) for x in same} | {(1, x[0]) for x in edited}
+
+
+def test_notices_that_recur_are_found(spark):
+    r = random.Random(9)
+    rows = [_sited(r, i) for i in range(300)]
+    bad = [_sited(r, 400 + k, ["Please enable JavaScript to view this page."]) for k in range(12)]
+    bad += [(500 + k, f"https://other.example/{k}", "other", f"Report {k}", "Loading...", None) for k in range(12)]
+    df = spark.createDataFrame(rows + bad, SCHEMA)
+    assert {x.content_id for x in residue.residue_rows(df).collect()} == {x[0] for x in bad}
+    assert {(400, 3), (500, 1)} <= {tuple(x) for x in residue.residue_lines(df).collect()}
