@@ -1,4 +1,5 @@
 
+from tidewell.plans import core_queries
 from tidewell.sources import feeds, pages
 from tidewell.streaming import flows
 
@@ -44,3 +45,10 @@ def test_streams(spark, tmp_path):
     q = flows.open_streaks(s().where("k IS NOT NULL"), "k", "i", "failed").writeStream.outputMode("update").foreachBatch(lambda df, _: seen.extend(map(tuple, df.collect()))).trigger(availableNow=True).start()
     q.awaitTermination()
     assert set(seen) == {("a", 2), ("b", 0)}
+
+
+def test_fragments_are_extracted(spark, tmp_path):
+    rows = [(1, "<html><body><article><p>One two</p></article></body></html>"), (2, "<div><h1>Head</h1><p>Three four</p></div>"), (3, "<table><tr><td><p>Five six</p><p>Seven</p></td></tr></table><div>Terms</div>"), (4, "plain\nlines"), (5, None)]
+    spark.createDataFrame(rows, "content_id long, raw string").write.parquet(str(tmp_path / "fetched_content.parquet"))
+    got = {r.content_id: r.body for r in core_queries.QUERIES["html_extract"](spark, str(tmp_path)).collect()}
+    assert got == {1: "One two", 2: "Head\nThree four", 3: "Five six\nSeven\nTerms", 4: "plain\nlines", 5: ""}

@@ -369,7 +369,7 @@ def html_tag_strip(t):
 
 @query()
 def html_extract(t):
-    return pages.extracted(t("fetched_content").where("raw LIKE '%<html%'"), "content_id")
+    return pages.extracted(t("fetched_content"), "content_id")
 
 
 @query(r"""WITH a AS (SELECT content_id, unnest(regexp_extract_all(raw, '(?is)<a\s[^>]*href="[^"]*"[^>]*>.*?</a>')) AS a, generate_subscripts(regexp_extract_all(raw, '(?is)<a\s[^>]*href="[^"]*"[^>]*>.*?</a>'), 1) - 1 AS position FROM fetched_content)

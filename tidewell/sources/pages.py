@@ -21,6 +21,8 @@ class _Page(HTMLParser):
         self.meta: dict[str, str] = {}
         self.title: list[str] = []
         self.bodies: list[tuple[str, list[str]]] = []
+        self.whole: list[str] = []
+        self.loose: list[str] = []
         self.open: list[tuple[str, list[str]]] = []
         self.hidden = 0
         self.in_title = False
@@ -56,13 +58,21 @@ class _Page(HTMLParser):
             self._add(data)
 
     def _add(self, text):
+        self.whole.append(text)
+        if not self.open:
+            self.loose.append(text)
         for _, parts in self.open:
             parts.append(text)
 
 
+def _lines(parts: list[str]) -> str:
+    lines = [" ".join(x.split()) for x in "".join(parts).split("\n")]
+    return "\n".join(x for x in lines if x)
+
+
 def extract(raw: str) -> tuple[str, str, str, str, str]:
     """title, description, author, published, text. The body is the candidate element of most words, an article before a
-    main, section, div or the body; a page's own title gives way to og:title and twitter:title."""
+    main, section, div or the body, or all text of a fragment that has more words outside them; a page's own title gives way to og:title and twitter:title."""
     page = _Page()
     page.feed(raw or "")
     page.close()
@@ -70,13 +80,14 @@ def extract(raw: str) -> tuple[str, str, str, str, str]:
     for kind in BODIES:
         for tag, parts in page.bodies:
             if tag == kind:
-                lines = [" ".join(x.split()) for x in "".join(parts).split("\n")]
-                text = "\n".join(x for x in lines if x)
+                text = _lines(parts)
                 n = len(text.split())
                 if n > most:
                     best, most = text, n
         if most > 0 and kind in ("article", "main"):
             break
+    if len("".join(page.loose).split()) > most:
+        best = _lines(page.whole)
     m = page.meta
     title = m.get("og:title") or m.get("twitter:title") or " ".join("".join(page.title).split())
     return title, m.get("description") or m.get("og:description", ""), m.get("author", ""), m.get("article:published_time", ""), best
