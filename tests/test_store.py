@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tidewell.operators.bucket_store import BucketStore, load, one_of_each, surplus
+from tidewell.operators.bucket_store import BucketStore, one_of_each, surplus
 
 SCHEMA = "delivery_id long, batch_no int, event_id string, k string, o int, row string, copies int"
 ROWS = [(1, 1, "A", "x", 1, "r", 0), (2, 1, " a\n", "x", 1, "r", 0), (3, 2, None, "x", 1, "r", 0), (4, 2, " ", None, None, None, None), (5, 3, "b", "y", 1, "r", 0), (6, 4, "a", "z", 1, "r", 0), (7, None, "B", "z", 1, "r", 0), (8, 4, "", "z", 1, "r", 0)]
@@ -27,11 +27,47 @@ def test_redelivered_batch_changes_nothing(spark):
     assert store.runs() == ["one", "two"]
 
 
-def test_compaction_does_not_shuffle(spark):
-    store = load(spark.createDataFrame(ROWS, SCHEMA), "batch_no", "event_id", "delivery_id")
-    assert "Exchange" not in store.compact()._jdf.queryExecution().sparkPlan().toString()
-    plan = store.survivors()._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange hashpartitioning" not in plan
+def test_compaction_merges_without_shuffle_and_is_written(spark, tmp_path):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    store = BucketStore(spark, "event_id", "delivery_id", path=f"file://{tmp_path}/store", buckets=3)
+    store.upsert(df.where("batch_no <= 2"), "one")
+    store.upsert(df.where("batch_no > 2 OR batch_no IS NULL"), "two")
+    assert "Exchange" not in store._merged(True)._jdf.queryExecution().executedPlan().toString()
+    before = sorted(map(tuple, store.survivors().collect()))
+    store.compact()
+    assert store.runs() == ["base"] and sorted(map(tuple, store.survivors().collect())) == before
+    folders = [p for p in (tmp_path / "store").iterdir() if p.name.startswith("run=")]
+    assert len(folders) == 1 and len(list(folders[0].glob("*.parquet"))) <= 3  # one sorted file a bucket
+    store.upsert(df.where("batch_no <= 2"), "one")  # delivered again after it was merged
+    assert store.runs() == ["base"]
+
+
+def test_store_is_opened_anew(spark, tmp_path):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    path = f"file://{tmp_path}/store"
+    store = BucketStore(spark, "event_id", "delivery_id", path=path, buckets=3)
+    store.upsert(df.where("batch_no <= 2"), "one")
+    before = sorted(map(tuple, store.survivors().collect()))
+    other = spark.newSession()
+    spark.sql(f"DROP TABLE {store.table.name}")  # another driver knows nothing of the catalogue
+    again = BucketStore(other, "event_id", "delivery_id", path=path)
+    assert again.table.buckets == 3 and again.runs() == ["one"] and sorted(map(tuple, again.survivors().collect())) == before
+    rows = other.createDataFrame(ROWS, SCHEMA)
+    again.upsert(rows.where("batch_no <= 2"), "one")
+    assert sorted(map(tuple, again.survivors().collect())) == before
+    again.upsert(rows.where("batch_no > 2 OR batch_no IS NULL"), "two")
+    again.compact()
+    assert sorted(r.o for r in BucketStore(other, "event_id", "delivery_id", path=path).survivors().collect()) == [1, 3, 4, 5, 8]
+
+
+def test_half_written_run_is_ignored(spark, tmp_path):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    path = f"file://{tmp_path}/store"
+    store = BucketStore(spark, "event_id", "delivery_id", path=path, buckets=2)
+    store.upsert(df.where("batch_no <= 2"), "one")
+    lost = store._collapsed(df).repartition(2, "k").withColumn("run", F.lit("two~9"))  # a writer that ended before the manifest
+    lost.select(*spark.table(store.table.name).columns).write.insertInto(store.table.name)
+    assert store.runs() == ["one"] and {r.o for r in store.survivors().collect()} == {1, 3, 4}
 
 
 def test_hot_identifier(spark):

@@ -57,13 +57,16 @@ def build(app: str = "tidewell", cores: str = "*", shuffle_partitions: int = 8,
 def scratch(spark: SparkSession) -> str:
     """The folder all executors share, as `spark.checkpoint.dir` names it.
 
-    Only where the session names none (a single machine, as in tests) is a temporary folder made and set.
+    Where the session names none, a temporary folder is made and set, but only on a single machine, as in tests: on a
+    cluster a folder of the driver would be none that executors share, so that is an error.
     """
     given = spark.conf.get("spark.checkpoint.dir", None)
     if not given:
         have = spark.sparkContext.getCheckpointDir()
         if have:
             return have.rstrip("/")
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         given = "file://" + tempfile.mkdtemp(prefix="tidewell-")
         spark.sparkContext.setCheckpointDir(given)
         return spark.sparkContext.getCheckpointDir().rstrip("/")
@@ -77,6 +80,39 @@ def scratch_path(spark: SparkSession, what: str) -> str:
     return f"{scratch(spark)}/tidewell-{what}-{uuid.uuid4().hex[:12]}"
 
 
+def _file(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file of settings, on whatever file system the path names; null if there is none."""
+    at, fs = _file(spark, path)
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file as a whole: a temporary name, then a rename over the old one."""
+    at, fs = _file(spark, path)
+    part, _ = _file(spark, f"{path}.{uuid.uuid4().hex[:8]}")
+    stream = fs.create(part, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), spark._jsc.hadoopConfiguration())
+    overwrite = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    options = spark._jvm.java.lang.reflect.Array.newInstance(overwrite.getClass(), 1)
+    options[0] = overwrite
+    context.rename(part, at, options)
+
+
 def settle(df: DataFrame, what: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a result to the shared folder and read it back.
 
