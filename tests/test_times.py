@@ -28,7 +28,11 @@ CASES = [
     ("2024-10-04 06:37:57 UTC-7", "UTC", True, "2024-10-04T13:37:57Z"),
     ("2024-10-04 06:37 -03", "UTC", True, "2024-10-04T09:37:00Z"),
     ("2024-10-27 02:30", "Europe/Berlin", True, "2024-10-27T00:30:00Z"),  # shown twice: the first
-    ("2024-10-27 02:30 CET", "Europe/Berlin", True, "2024-10-27T00:30:00Z"),
+    ("2024-10-27 02:30 CEST", "Europe/Berlin", True, "2024-10-27T00:30:00Z"),
+    ("2024-10-27 02:30 CET", "Europe/Berlin", True, "2024-10-27T01:30:00Z"),  # standard time: the second
+    ("2024-11-03 01:10 EST", "America/New_York", True, "2024-11-03T06:10:00Z"),
+    ("2024-11-03 00:59 EST", "America/New_York", True, "2024-11-03T04:59:00Z"),  # not shown twice: the source's zone
+    ("2025-04-06 02:10 AEST", "Australia/Sydney", True, "2025-04-05T16:10:00Z"),
     ("2025-03-30 02:30", "Europe/Berlin", True, "2025-03-30T01:30:00Z"),  # skipped: moved forward
     ("2025-02-29 00:00", "UTC", True, None),
     ("32/13/2025 25:61", "UTC", True, None),

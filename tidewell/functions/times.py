@@ -7,8 +7,9 @@ Everything is a Catalyst expression: no row passes through Python.
 Policies
 * A value without zone takes the default zone given for its row; a zone abbreviation means that zone as well, except
   for GMT, UTC and Z.
-* A local time that a clock shows twice is the first of the two; one that a clock skips is moved forward by the skipped
-  span (the offset before the change holds).
+* A local time that a clock shows twice is the first of the two, unless an abbreviation of standard time (EST, CET)
+  says that it is the second. One that a clock skips is moved forward by the skipped span (the offset before the change
+  holds).
 * A date without time is midnight in the row's zone. 8 digits are a date, 10 epoch seconds, 13 epoch milliseconds.
 * Fractions of a second are cut off, not rounded. Anything else is null.
 """
@@ -38,6 +39,9 @@ MONTH_NAMES = {
     12: ("dec", "december", "dezember", "dez", "décembre", "déc", "diciembre", "dic"),
 }
 
+# Abbreviations of standard time in zones that know a summer time.
+STANDARD = ("EST", "CST", "MST", "PST", "AKST", "HST", "AST", "NST", "CET", "MEZ", "EET", "OEZ", "WET", "AEST", "ACST", "NZST", "IST", "MSK")
+
 _TIME = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,]\d+)?)?"
 _ZONE = r"(Z|[+-]\d{2}(?::?\d{2})?|(?:UTC|GMT)[+-]\d{1,2}(?::?\d{2})?|[A-Z]{2,5})"
 _NAME = r"(\p{L}{3,12})\.?"
@@ -119,10 +123,19 @@ def _resolve(f: Column, zone: Column) -> Column:
     return (
         F.when(f["offset"] != "", F.when((hours <= 18) & (minutes < 60), F.timestamp_seconds(F.unix_seconds(f["wall"]) - ahead * 60)))
         .when(f["zone"].isin("Z", "UTC", "GMT", "UT"), f["wall"])
-        .otherwise(F.to_utc_timestamp(f["wall"], zone))
+        .otherwise(_let(F.to_utc_timestamp(f["wall"], zone), lambda first: _of_two(first, f, zone)))
     )
 
 
+def _of_two(first: Column, f: Column, zone: Column) -> Column:
+    """The second instant at which the clock shows the same where the value names standard time, else the first."""
+    out = first
+    for minutes in (30, 60):  # what clocks are put back by
+        later = F.timestamp_seconds(F.unix_seconds(first) + minutes * 60)
+        out = F.when(f["zone"].isin(*STANDARD) & (F.from_utc_timestamp(later, zone) == f["wall"]), later).otherwise(out)
+    return out
+
+
 def to_utc(value: Column, zone: Column, day_first: Column) -> Column:
     """The instant that `value` names as a UTC timestamp, or null.
 
