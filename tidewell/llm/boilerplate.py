@@ -8,8 +8,8 @@ them (a byline, a prompt between paragraphs) may still leave. The minimum cut is
 whose own capacity outweighs all their edges are settled first, which is exact, and augmenting paths cut the rest.
 
 The word part is naive Bayes over pairs of words (of characters for Han), fitted on blocks whose place
-leaves little doubt (navigation, footers and link lists against paragraphs of the largest body of text), of at most
-`FIT_PAGES` pages. Everything else runs over all pages, whole.
+leaves little doubt (navigation, footers and link lists against paragraphs of the largest body of text), of about
+`FIT_PAGES` pages. Everything else runs over all pages, whole; so are the lines counted that come back within a site.
 """
 
 from __future__ import annotations
@@ -24,13 +24,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..functions.urls import host_of
+from . import sitelines
+from .residue import furniture
 
 #: Pages the word model is fitted on, chosen by a hash of their id; the only bound in this operator.
 FIT_PAGES = 12_000
-#: Entries of the word model that are kept: those seen at least twice.
-#: The share of a site's pages from which on a paragraph that comes back is no article.
-AGAIN = 0.01
 CLIP, WORD_CLIP, NEW = 6.0, 5.0, 1.0
 NEIGHBOUR, NEIGHBOUR_APART, PARENT = 0.35, 0.1, 0.8
 
@@ -171,7 +170,8 @@ def _site(source: str | None, url: str | None) -> str:
 def fit(rows: DataFrame, fit_pages: int = FIT_PAGES) -> dict:
     """The word model: term -> logarithm of the odds for the article. rows: content_id, url, source, text, raw.
 
-    The pages are those whose id hashes below a limit that lets through about `fit_pages` of them.
+    The pages are those whose id hashes below a limit that lets through about `fit_pages` of them. Prompts set as
+    paragraphs are known by their return, word for word, in otherwise different texts of a site, counted over all rows.
     """
     pages = rows.where(is_html(F.col("raw"), F.col("text")))
     n = pages.count()
@@ -181,20 +181,18 @@ def fit(rows: DataFrame, fit_pages: int = FIT_PAGES) -> dict:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
-            for url, source, raw in zip(*(b.column(c).to_pylist() for c in ("url", "source", "raw"))):
+            for host, url, source, raw in zip(*(b.column(c).to_pylist() for c in ("host", "url", "source", "raw"))):
                 page = blocks(raw)
                 site = _site(source, url)
-                out.append((site, None, None, None))  # counts the page
-                out.extend((site, _masked(p[0], site), label, p[1] in PROSE - {"h1", "h2"}) for p, label in zip(page, _weak(page)) if label >= 0)
+                out.extend((host, plain(p[0]) if p[1] in PROSE - {"h1", "h2"} else None, _masked(p[0], site), label) for p, label in zip(page, _weak(page)) if label >= 0)
             cols = zip(*out) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, (pa.string(), pa.string(), pa.int32(), pa.bool_()))], ["site", "text", "label", "prose"])
-
-    found = settle(pages.select("url", "source", "raw").mapInArrow(cut, "site string, text string, label int, prose boolean"), "labelled")
-    sizes = found.where("text IS NULL").groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
-    lines = found.where("text IS NOT NULL").groupBy("site", "text", "label", "prose").agg(F.count(F.lit(1)).alias("n")).join(sizes, "site")
-    # a paragraph that comes back on a site's pages is a prompt set as one
-    again = F.col("prose") & (F.col("n") >= 5) & (F.col("n") >= F.col("pages") * AGAIN)
-    lines = lines.select("text", "n", F.when(again, F.lit(0)).otherwise(F.col("label")).alias("label"))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, (pa.string(), pa.string(), pa.string(), pa.int32()))], ["host", "prose", "text", "label"])
+
+    host = host_of(F.col("url")).alias("host")
+    found = pages.select(host, "url", "source", "raw").mapInArrow(cut, "host string, prose string, text string, label int")
+    prompts = furniture(rows.select(host_of(F.col("url")).alias("source"), "text")).select(F.col("source").alias("host"), "h", F.lit(True).alias("prompt"))
+    keyed = found.withColumn("h", F.xxhash64(sitelines.norm(F.col("prose"))))
+    lines = keyed.join(prompts, ["host", "h"], "left").groupBy("text", F.when(F.col("prompt") & F.col("prose").isNotNull(), F.lit(0)).otherwise(F.col("label")).alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple, list[int]] = {}
