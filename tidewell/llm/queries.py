@@ -63,7 +63,7 @@ def p6_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     rows = _content(spark, sf)
-    return incremental.repeated_tasks(table(spark, sf, "queue_task"), rows, residue.real_text(rows))
+    return incremental.repeated_tasks(table(spark, sf, "queue_task"), rows)
 
 
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
