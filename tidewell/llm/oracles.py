@@ -29,6 +29,11 @@ many AS (SELECT w FROM w GROUP BY w HAVING count(*) > 1), s AS (SELECT w.* FROM
 ORACLE: dict[str, str] = {
     "p8_found": _P8 + "SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (w)",
     "p10_found": _P10 + "SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM s a JOIN s b ON a.w = b.w AND a.doc_id < b.doc_id",
+    "p10_report": """WITH w AS (SELECT doc_id, k, md5(substr(text, k, 300)) AS w FROM documents, LATERAL (SELECT unnest(range(1, length(text) - 298)) AS k)),
+many AS (SELECT w FROM w GROUP BY w HAVING min(doc_id) < max(doc_id)), s AS (SELECT doc_id, k, k - lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS gap FROM w SEMI JOIN many ON many.w = w.w),
+c AS (SELECT doc_id, CAST(sum(least(coalesce(gap, 300), 300)) AS BIGINT) AS shared_chars, count(*) FILTER (WHERE gap IS NULL OR gap > 300) AS n_spans FROM s GROUP BY 1)
+SELECT d.doc_id, CAST(coalesce(length(d.text), 0) AS BIGINT) AS n_chars, coalesce(c.shared_chars, 0) AS shared_chars, CASE WHEN length(d.text) > 0 THEN coalesce(c.shared_chars, 0) / length(d.text) ELSE 0.0 END AS shared_share,
+  coalesce(c.n_spans, 0) AS n_spans FROM documents d LEFT JOIN c USING (doc_id)""",
     "p2_found": _P2 + "SELECT content_id FROM rec JOIN cut USING (source) WHERE score >= cutoff",
     "p2_cutoffs": _P2 + "SELECT source, keep_percent, n AS n_records, (SELECT count(*) FROM rec WHERE rec.source = cut.source AND score >= cutoff) AS n_kept, cutoff FROM cut",
     "p4_found": _P4 + "SELECT content_id, CAST(line_no AS INT) AS line_no FROM n JOIN named USING (source, norm)",

@@ -97,4 +97,8 @@ def p10_report(spark: SparkSession, sf: str) -> DataFrame:
     return spans.report(_docs(spark, sf).select(F.col("doc_id").alias("id"), "text")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_texts, p2_found, p2_cutoffs, p4_found, p4_texts, p4_lines, p6_found, p6_lines, p7_found, p8_found, p8_report, p9_copies, p9_shares, p10_found, p10_report)}
+def p10_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return spans.groups(_docs(spark, sf).select(F.col("doc_id").alias("id"), "text")).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_texts, p2_found, p2_cutoffs, p4_found, p4_texts, p4_lines, p6_found, p6_lines, p7_found, p8_found, p8_report, p9_copies, p9_shares, p10_found, p10_report, p10_groups)}

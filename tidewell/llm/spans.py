@@ -1,17 +1,21 @@
-"""Long exact spans shared between records (problem 10), by parsing each text against blocks of all others.
+"""Long exact spans shared between records (problem 10), by parsing texts relative to each other.
 
 1. Equal texts form a class; only its record of smallest id goes on.
 2. Every text is indexed by content-defined blocks: of each run of 201 windows of 100 characters the one of least hash.
    Any span of 300 characters holds such a block, and equal spans hold equal blocks. About one block per 100 characters
    is shuffled. Blocks of one text only are dropped.
-3. Texts that share a block are factored against each other as Lempel-Ziv does relative to a reference: at each block of
-   the one the longest match in the other is taken, extended to both sides character by character, and the parse goes on
-   behind it. Factors of `least` characters are spans; they are checked in both texts, so no result rests on a hash.
-4. A block in more than `HOT` texts is not compared pair by pair, as it may be a short notice in a third of all records.
-   There the hashes of all windows of `least` characters that hold the block are compared: one row per window and
-   record. Records with a window in common share that span. So both ways are exact and the number only chooses.
-
-`pairs`, whose result is pairs by definition, lists those of a hot window once for each distinct set of records.
+3. A text is the reference of all earlier ones it shares a block with. Its windows are indexed once, its partners are
+   factored against them one after the other as they stream by, and it against them: from each window that the index
+   holds the match is followed in both texts, character by character, to the end of the factor, and the parse goes on
+   behind it. No factor rests on a hash, and as the parse continues with the windows that reach past a factor, the
+   factors of a text cover all that it shares.
+4. A block in more than `HOT` texts is not compared text by text, as it may be a notice in a third of all records. Its
+   contexts (what lies around it within reach of a span) are compared instead, equal ones once: two contexts share a
+   span that holds the block if they have a window of `least` characters in common. Coarser windows sort out those that
+   cannot. A record and its contexts, a context and its windows are rows, so this grows with the text, not with pairs.
+
+`pairs`, whose result is pairs by definition, lists those of equal texts and of hot windows, too; `groups` gives the same
+links in rows that grow with the records.
 """
 
 from __future__ import annotations
@@ -20,17 +24,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
 from .arrays import anchors, chunks, code_points, int64, window_hashes
 
 BLOCK = 100
-#: A block in more texts than this is compared by windows, not by pairs.
+#: A block in more texts than this is compared by contexts, not by texts.
 HOT = 40
+#: Windows shorter by this much than a span sort out contexts first.
+GRID = 50
 #: Ids are broadcast up to this many.
-BROADCAST_IDS = 1_000_000
+BROADCAST_IDS = 200_000
 
 
 def _blocks(least: int):
@@ -40,24 +46,125 @@ def _blocks(least: int):
                 points, starts = code_points(texts)
                 at, h = anchors(points, starts, BLOCK, least - BLOCK + 1)
                 doc = np.searchsorted(starts, at, "right") - 1
-                yield pa.RecordBatch.from_arrays([int64(h), pa.array(np.asarray(ids, np.int64)[doc]), pa.array((at - starts[doc]).astype(np.int32))], ["h", "id", "pos"])
+                order = np.lexsort((h, doc))
+                doc, h = doc[order], h[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
+                yield pa.RecordBatch.from_arrays([int64(h[new]), pa.array(np.asarray(ids, np.int64)[doc[new]])], ["h", "id"])
 
     return run
 
 
-def _windows(least: int):
+def _contexts(least: int):
+    """The contexts of a text's hot blocks: where they begin and end, and a hash of what they hold and where in it the
+    block stands."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reach = least - BLOCK
         for b in batches:
-            for i, text, at in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), b.column("at").to_pylist()):
-                h = window_hashes(code_points([text])[0], least)
-                if not len(h):
+            for i, text, hs in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), b.column("hs").to_pylist()):
+                points, starts = code_points([text])
+                at, h = anchors(points, starts, BLOCK, reach + 1)
+                at = at[np.isin(h.view(np.int64), np.asarray(hs, np.int64))]
+                if not len(at):
                     continue
-                mark = np.zeros(len(h) + 1, np.int64)
-                pos = np.asarray(at, np.int64)
-                np.add.at(mark, np.maximum(pos - (least - BLOCK), 0), 1)
-                np.add.at(mark, np.minimum(pos + 1, len(h)), -1)
-                starts = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
-                yield pa.RecordBatch.from_arrays([int64(h[starts]), pa.array(np.full(len(starts), i, np.int64)), pa.array(starts.astype(np.int32))], ["w", "id", "pos"])
+                lo, hi = np.maximum(at - reach, 0), np.minimum(at + BLOCK + reach, len(points))
+                ctx = np.asarray([hash_of(text[s:e], p - s) for s, e, p in zip(lo.tolist(), hi.tolist(), at.tolist())], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(ctx), pa.array(np.full(len(at), i, np.int64)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(at.astype(np.int32))], ["ctx", "id", "start", "stop", "pos"])
+
+    return run
+
+
+def hash_of(text: str, at: int) -> int:
+    import xxhash
+
+    h = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"), seed=at)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def _windows(least: int, length: int, step: int):
+    """w, ctx, off of the windows of `length` characters that begin at a multiple of `step` before a context's block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for text, places in zip(b.column("text").to_pylist(), b.column("places").to_pylist()):
+                h = window_hashes(code_points([text])[0], length)
+                w, ctx, off = [], [], []
+                for p in places:
+                    at = np.arange(p["pos"] - (least - BLOCK) + (GRID if step > 1 else 0), p["pos"] + 1, step)
+                    at = at[(at >= 0) & (at < len(h)) & (at + length <= p["stop"])]
+                    w.append(h[at])
+                    ctx.append(np.full(len(at), p["ctx"], np.int64))
+                    off.append(at - p["start"])
+                cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+                yield pa.RecordBatch.from_arrays([int64(cat(w, np.uint64)), pa.array(cat(ctx, np.int64)), pa.array(cat(off, np.int64).astype(np.int32))], ["w", "ctx", "off"])
+
+    return run
+
+
+class Index:
+    """The windows of a text, in order of their hashes."""
+
+    def __init__(self, text: str, least: int):
+        self.text, self.least = text, least
+        self.h = window_hashes(code_points([text])[0], least)
+        self.order = np.argsort(self.h, kind="stable")
+        self.sorted = self.h[self.order]
+
+
+def _length(a: str, b: str, i: int, j: int) -> int:
+    """How many characters of a from i on equal those of b from j on; slices are compared, doubling, then halving."""
+    n, step = 0, 64
+    while step:
+        if i + n + step <= len(a) and j + n + step <= len(b) and a[i + n : i + n + step] == b[j + n : j + n + step]:
+            n += step
+            step *= 2
+        else:
+            step //= 2
+    return n
+
+
+def factors(of: Index, ref: Index) -> list[tuple[int, int, int]]:
+    """Greedy factors of a text relative to a reference: (start, start in the reference, length), each `least` long or
+    longer. Together they cover every span of that length that the reference holds."""
+    if not len(of.h) or not len(ref.h):
+        return []
+    at = np.minimum(np.searchsorted(ref.sorted, of.h), len(ref.h) - 1)
+    hits = np.flatnonzero(ref.sorted[at] == of.h)
+    out, k = [], 0
+    while k < len(hits):
+        i, s, n, j = int(hits[k]), int(at[hits[k]]), 0, 0
+        while s < len(ref.h) and ref.sorted[s] == of.h[i] and n < of.least:  # the first place that holds the window itself
+            j = int(ref.order[s])
+            n = _length(of.text, ref.text, i, j)
+            s += 1
+        if n >= of.least:
+            out.append((i, j, n))
+            k = int(np.searchsorted(hits, i + n - of.least + 1))
+        else:
+            k += 1
+    return out
+
+
+_FACTORS = "id bigint, other bigint, start int, stop int"
+
+
+def _parsed(least: int):
+    """Rows come as a reference (other null) followed by its partners; gives the factors of both sides."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, index = None, None
+        for b in batches:
+            out = []
+            for key, other, text in zip(b.column("key").to_pylist(), b.column("other").to_pylist(), b.column("text").to_pylist()):
+                if other is None:
+                    held, index = key, Index(text, least)
+                elif held == key:
+                    part = Index(text, least)
+                    out.extend((other, key, i, i + n) for i, _, n in factors(part, index))
+                    out.extend((key, other, i, i + n) for i, _, n in factors(index, part))
+            cols = zip(*out) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["id", "other", "start", "stop"])
 
     return run
 
@@ -73,93 +180,85 @@ def _classes(docs: DataFrame, least: int) -> DataFrame:
     return keyed.join(many, "k").select("id", "rep").distinct()
 
 
-def _sides(df: DataFrame, n: int) -> DataFrame:
-    return F.broadcast(df) if n <= BROADCAST_IDS else df
+def _sides(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
 
 
 class Shared:
-    """What the records share: class membership, factors of cold blocks, windows of hot ones; each written once."""
+    """What the records share, each table written once.
+
+    classes: id, rep of equal texts. factors: id, other, start, stop of cold blocks' texts. members: ctx, id, start, stop
+    of hot contexts that share a span. windows: w, ctx, off of the windows that hot contexts have in common."""
 
     def __init__(self, docs: DataFrame, least: int = 300):
         self.least = least
-        self.docs = _clean(docs)
-        self.classes = settle(_classes(self.docs, least), "classes")
+        docs = _clean(docs)
+        self.classes = settle(_classes(docs, least), "classes")
         copies = self.classes.where("id <> rep").select("id")
-        self.long = self.docs.where(F.length("text") >= least)
-        blocks = self.long.mapInArrow(_blocks(least), "h bigint, id bigint, pos int")
-        blocks = settle(blocks.join(_sides(copies, copies.count()), "id", "left_anti"), "blocks")
-        groups = blocks.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.approx_count_distinct("id").alias("n")).where("lo < hi")
-        repeated = settle(blocks.join(groups.select("h", "n"), "h").select("h", "id", "pos", (F.col("n") > HOT).alias("hot")), "repeated")
-        cold = repeated.where("NOT hot").groupBy("h").agg(F.array_sort(F.collect_set("id")).alias("ids"))
+        self.long = docs.where(F.length("text") >= least)
+        blocks = self.long.mapInArrow(_blocks(least), "h bigint, id bigint")
+        blocks = settle(blocks.join(_sides(copies), "id", "left_anti"), "blocks")
+        groups = blocks.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi")
+        repeated = settle(blocks.join(groups.select("h", "n"), "h").select("h", "id", (F.col("n") > HOT).alias("hot")), "repeated")
+        cold = repeated.where("NOT hot").groupBy("h").agg(F.array_sort(F.collect_set("id")).alias("ids"))  # at most HOT
         a = cold.select("ids", F.posexplode("ids").alias("k", "id_a"))
         pairs = a.select("id_a", F.explode(F.slice("ids", F.col("k") + 2, F.size("ids"))).alias("id_b")).distinct()
         self.factors = settle(self._factor(settle(pairs, "candidates")), "factors")
-        self.windows = settle(self._hot(repeated.where("hot").select("id", "pos")), "windows")
+        self._hot(repeated.where("hot").select("id", "h"))
 
-    def _some(self, ids: DataFrame) -> DataFrame:
-        return self.long.join(_sides(ids, ids.count()), "id", "left_semi")
+    def _texts(self, ids: DataFrame) -> DataFrame:
+        return self.long.join(_sides(settle(ids.distinct(), "ids")), "id", "left_semi")
 
     def _factor(self, pairs: DataFrame) -> DataFrame:
-        """id_a, id_b, start_a, start_b, length of every factor of the pairs' texts."""
-        ids = settle(pairs.select(F.col("id_a").alias("id")).unionByName(pairs.select(F.col("id_b").alias("id"))).distinct(), "ids")
-        texts = self._some(ids)
-        both = pairs.join(texts.select(F.col("id").alias("id_a"), F.col("text").alias("a")), "id_a").join(texts.select(F.col("id").alias("id_b"), F.col("text").alias("b")), "id_b")
+        """The factors of the pairs' texts. A reference's text goes to one place once, its partners' texts follow."""
+        texts = settle(self._texts(pairs.select(F.col("id_a").alias("id")).unionByName(pairs.select(F.col("id_b").alias("id")))), "texts")
+        refs = texts.join(pairs.select(F.col("id_b").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("key"), F.lit(None).cast("bigint").alias("other"), "text")
+        partners = pairs.join(texts, F.col("id_a") == F.col("id")).select(F.col("id_b").alias("key"), F.col("id_a").alias("other"), "text")
+        rows = refs.unionByName(partners).repartition("key").sortWithinPartitions("key", F.asc_nulls_first("other"))
+        return rows.mapInArrow(_parsed(self.least), _FACTORS)
+
+    def _hot(self, at: DataFrame) -> None:
         least = self.least
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                out = [(r["id_a"], r["id_b"], *f) for r in batch.to_pylist() for f in parse(r["b"], r["a"], least)]
-                cols = zip(*out) if out else [[]] * 5
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], ["id_a", "id_b", "start_a", "start_b", "length"])
-
-        return both.select("id_a", "id_b", "a", "b").mapInArrow(run, "id_a bigint, id_b bigint, start_a int, start_b int, length int")
-
-    def _hot(self, at: DataFrame) -> DataFrame:
-        """w, id, pos: the windows around hot blocks that two records or more have in common."""
-        places = at.groupBy("id").agg(F.collect_set("pos").alias("at"))  # of one text
-        rows = self._some(at.select("id").distinct()).join(places, "id").select("id", "text", "at")
-        windows = settle(rows.mapInArrow(_windows(self.least), "w bigint, id bigint, pos int"), "hot")
-        shared = windows.groupBy("w").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("w")
-        return windows.join(shared, "w", "left_semi")
-
-
-def _extend(a: str, b: str, i: int, j: int, k: int) -> tuple[int, int, int]:
-    """The longest common span of a and b around a[i:i+k] == b[j:j+k]: its starts and length."""
-    lo = 0
-    while i - lo > 0 and j - lo > 0 and a[i - lo - 1] == b[j - lo - 1]:
-        lo += 1
-    hi, step = k, 64
-    while step:  # doubling, then halving: compares slices, not single characters
-        if i + hi + step <= len(a) and j + hi + step <= len(b) and a[i + hi : i + hi + step] == b[j + hi : j + hi + step]:
-            hi += step
-            step *= 2
-        else:
-            step //= 2
-    return i - lo, j - lo, lo + hi
-
-
-def parse(text: str, ref: str, least: int) -> list[tuple[int, int, int]]:
-    """Greedy factors of `text` relative to `ref`: (start in ref, start in text, length), each at least `least` long."""
-    pt, pr = code_points([text]), code_points([ref])
-    at_t, h_t = anchors(*pt, BLOCK, least - BLOCK + 1)
-    at_r, h_r = anchors(*pr, BLOCK, least - BLOCK + 1)
-    where: dict[int, list[int]] = {}
-    for p, h in zip(at_r.tolist(), h_r.tolist()):
-        where.setdefault(h, []).append(p)
-    out, end = [], -1
-    for p, h in zip(at_t.tolist(), h_t.tolist()):
-        if p + BLOCK <= end or h not in where:
-            continue
-        longest = (0, 0, 0)
-        for q in where[h]:
-            if text[p : p + BLOCK] == ref[q : q + BLOCK]:
-                s, rs, n = _extend(text, ref, p, q, BLOCK)
-                longest = max(longest, (n, rs, s))
-        if longest[0] >= least:
-            out.append((longest[1], longest[2], longest[0]))
-            end = longest[2] + longest[0]
-    return out
+        hs = at.groupBy("id").agg(F.collect_set("h").alias("hs"))  # of one text
+        contexts = settle(self._texts(at.select("id")).join(hs, "id").select("id", "text", "hs").mapInArrow(_contexts(least), "ctx bigint, id bigint, start int, stop int, pos int"), "contexts")
+        classes = contexts.groupBy("ctx").agg(F.min(F.struct("id", "pos", "start", "stop")).alias("r"), F.min("id").alias("lo"), F.max("id").alias("hi"))
+        classes = settle(classes.where(F.col("r.stop") - F.col("r.start") >= least).select("ctx", "r.*", "lo", "hi"), "context-classes")
+
+        def windows(of: DataFrame, length: int, step: int) -> DataFrame:
+            places = of.groupBy("id").agg(F.collect_list(F.struct("ctx", "pos", "start", "stop")).alias("places"))  # of one text
+            listed = self._texts(of.select("id")).join(places, "id").select("text", "places").mapInArrow(_windows(least, length, step), "w bigint, ctx bigint, off int")
+            return listed.join(_sides(of.select("ctx", "lo", "hi")), "ctx")
+
+        def common(listed: DataFrame) -> DataFrame:
+            met = listed.groupBy("w").agg(F.min("lo").alias("a"), F.max("hi").alias("b"), F.min("ctx").alias("c"), F.max("ctx").alias("d")).where("a < b AND c < d").select("w")
+            return listed.join(met, "w", "left_semi")
+
+        # a span with the block holds one of these shorter windows, whatever its place
+        coarse = common(settle(windows(classes, least - GRID, GRID), "coarse")).select("ctx").distinct()
+        near = settle(classes.join(_sides(settle(coarse, "near")), "ctx", "left_semi"), "context-classes")
+        self.windows = settle(common(settle(windows(near, least, 1), "hot")).select("w", "ctx", "off"), "windows")
+        # contexts that several records have, and those with a window in common
+        used = classes.where("lo < hi").select("ctx").unionByName(self.windows.select("ctx")).distinct()
+        self.whole = settle(classes.where("lo < hi").select("ctx"), "whole")
+        self.members = settle(contexts.join(used, "ctx", "left_semi").select("ctx", "id", "start", "stop").distinct(), "members")
+
+    def spans(self) -> DataFrame:
+        """id, start, stop: what of the records' texts stands elsewhere; they may overlap. Copies of a text are left to
+        `classes`."""
+        own = self.factors.select("id", "start", "stop")
+        whole = self.members.join(self.whole, "ctx", "left_semi").select("id", "start", "stop")
+        n = F.row_number().over(Window.partitionBy("ctx").orderBy("off"))  # of one context
+        runs = self.windows.select("ctx", "off").distinct().select("ctx", "off", (F.col("off") - n).alias("run"))
+        runs = runs.groupBy("ctx", "run").agg(F.min("off").alias("a"), (F.max("off") + self.least).alias("b"))
+        parts = self.members.select("ctx", "id", "start").join(runs, "ctx").select("id", (F.col("start") + F.col("a")).alias("start"), (F.col("start") + F.col("b")).alias("stop"))
+        return own.unionByName(whole).unionByName(parts).distinct()
+
+    def hot_groups(self) -> DataFrame:
+        """g, id: the records that share a hot span, a row each; sets of records that are equal come once."""
+        sides = self.windows.select("w", "ctx").unionByName(self.whole.select(F.col("ctx").alias("w"), "ctx")).distinct()
+        marks = sides.groupBy("w").agg(F.sum(F.xxhash64("ctx").cast("decimal(38,0)")).alias("m1"), F.sum(F.hash("ctx").cast("bigint")).alias("m2"), F.count(F.lit(1)).alias("n"))
+        one = marks.groupBy("m1", "m2", "n").agg(F.min("w").alias("w")).select("w")
+        return sides.join(one, "w", "left_semi").join(self.members.select("ctx", "id").distinct(), "ctx").select(F.col("w").alias("g"), "id").distinct()
 
 
 def pairs(docs: DataFrame, least: int = 300) -> DataFrame:
@@ -169,11 +268,10 @@ def pairs(docs: DataFrame, least: int = 300) -> DataFrame:
     id count as one record, whose texts all count.
     """
     s = Shared(docs, least)
-    marks = s.windows.groupBy("w").agg(F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("m1"), F.sum(F.hash("id").cast("bigint")).alias("m2"), F.count(F.lit(1)).alias("n"))
-    one = marks.groupBy("m1", "m2", "n").agg(F.min("w").alias("w")).select("w")
-    kept = s.windows.join(one, "w", "left_semi").select("w", "id").distinct()
-    hot = kept.withColumnRenamed("id", "id_a").join(kept.withColumnRenamed("id", "id_b"), "w").where("id_a < id_b").select("id_a", "id_b")
-    reps = s.factors.select("id_a", "id_b").unionByName(hot).distinct()
+    kept = settle(s.hot_groups(), "groups")
+    hot = kept.withColumnRenamed("id", "id_a").join(kept.withColumnRenamed("id", "id_b"), "g").where("id_a < id_b").select("id_a", "id_b")
+    cold = s.factors.where("id < other").select(F.col("id").alias("id_a"), F.col("other").alias("id_b"))
+    reps = cold.unionByName(hot).distinct()
     # each side stands for all records of its class
     members = s.classes.select(F.col("rep"), F.col("id").alias("member"))
     wide = reps.join(members.select(F.col("rep").alias("id_a"), F.col("member").alias("m_a")), "id_a", "left").join(members.select(F.col("rep").alias("id_b"), F.col("member").alias("m_b")), "id_b", "left")
@@ -183,6 +281,19 @@ def pairs(docs: DataFrame, least: int = 300) -> DataFrame:
     return both.where("doc_id_a < doc_id_b").distinct()
 
 
+def groups(docs: DataFrame, least: int = 300) -> DataFrame:
+    """kind, g, id: the links of `pairs` in rows that grow with the records. `copy`: all records with the text of record
+    g. `span`: records, one for each text, that share a span; g names it. Two records are linked if they, or the
+    representatives of their copies, stand in one group."""
+    s = Shared(docs, least)
+    copy = s.classes.select(F.lit("copy").alias("kind"), F.col("rep").cast("string").alias("g"), "id")
+    cold = s.factors.where("id < other").select("id", "other").distinct()
+    name = F.concat_ws("-", "id", "other")
+    cold = cold.select(F.lit("span").alias("kind"), name.alias("g"), F.explode(F.array("id", "other")).alias("id"))
+    hot = s.hot_groups().select(F.lit("span").alias("kind"), F.concat(F.lit("w"), F.col("g").cast("string")).alias("g"), "id")
+    return copy.unionByName(cold).unionByName(hot)
+
+
 def report(docs: DataFrame, least: int = 300) -> DataFrame:
     """id, n_chars, shared_chars, shared_share, n_spans: one row per record, how much of it stands in other records.
 
@@ -190,13 +301,7 @@ def report(docs: DataFrame, least: int = 300) -> DataFrame:
     record that shares nothing has 0; a null text has n_chars 0.
     """
     s = Shared(docs, least)
-    f = s.factors
-    spans = (
-        f.select(F.col("id_a").alias("id"), F.col("start_a").alias("start"), (F.col("start_a") + F.col("length")).alias("stop"))
-        .unionByName(f.select(F.col("id_b").alias("id"), F.col("start_b").alias("start"), (F.col("start_b") + F.col("length")).alias("stop")))
-        .unionByName(s.windows.select("id", F.col("pos").alias("start"), (F.col("pos") + least).alias("stop")))
-    )
-    ordered = spans.distinct().groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("s"))  # of one text
+    ordered = s.spans().groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("s"))  # of one text
 
     def merge(acc, x):
         fresh = F.greatest(F.lit(0), x["stop"] - F.greatest(x["start"], acc["end"]))
