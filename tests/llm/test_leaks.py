@@ -40,9 +40,9 @@ def test_equals_brute_force(spark, monkeypatch):
     i = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(7))
     want = _brute(docs, items, 80)
     assert len(want) >= 5
-    assert {(r.doc_id, r.item_id) for r in leaks.leaks(d, i).collect()} == want
-    monkeypatch.setattr(leaks, "BROADCAST_CHARS", 0)
-    assert {(r.doc_id, r.item_id) for r in leaks.leaks(d, i).collect()} == want
+    assert {(r.doc_id, r.item_id) for r in leaks.leaks(d, i).where("longest >= 80").collect()} == want
+    monkeypatch.setattr(leaks, "BROADCAST_CHARS", 500)
+    assert {(r.doc_id, r.item_id) for r in leaks.leaks(d, i).where("longest >= 80").collect()} == want
 
 
 def test_reordered_passage_has_two_tiles():
@@ -51,6 +51,52 @@ def test_reordered_passage_has_two_tiles():
     assert len(found) == 2 and sum(x[2] for x in found) >= 220
 
 
+def _tiled(a, b, least):
+    """Greedy string tiling, written down as it is defined."""
+    free_a, free_b, out = [True] * len(a), [True] * len(b), []
+    while True:
+        best = (least - 1, 0, 0)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and free_a[i + n] and free_b[j + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        if best[0] < least:
+            return out
+        n, i, j = best
+        free_a[i : i + n] = [False] * n
+        free_b[j : j + n] = [False] * n
+        out.append((i, j, n))
+
+
+def test_tiles_equal_their_definition():
+    r = random.Random(9)
+    for _ in range(60):
+        pool = ["".join(r.choice("abc") for _ in range(r.randint(5, 20))) for _ in range(4)] + ["a" * 15]
+        a, b = ["".join(r.choice(pool) for _ in range(r.randint(0, 6))) for _ in range(2)]
+        assert leaks.tiles(a, b, 6) == _tiled(a, b, 6)
+
+
+def test_shuffled_pieces_are_caught_by_coverage(spark):
+    r = random.Random(6)
+    item = "".join(r.choice("abcdefghijklmnop") for _ in range(700))
+    pieces = [item[k : k + 70] for k in range(0, 700, 70)]
+    r.shuffle(pieces)
+    d = spark.createDataFrame([(1, " - ".join(pieces)), (2, item[:70] + " other"), (3, item[100:190])], "doc_id long, text string")
+    i = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {x.doc_id: x for x in leaks.leaks(d, i).collect()}
+    assert set(got) == {1, 3} and got[1].longest < 80 * 2 and got[1].covered == 700
+    row = leaks.report(d, i).first()
+    assert row.n_docs + row.n_reordered == 2 and row.most_covered == 1.0
+
+
+def test_repetitive_text_is_linear():
+    assert leaks.tiles("a" * 400_000, "a" * 1000, 80) == [(0, 0, 1000)]
+    assert [x[2] for x in leaks.tiles("ab" * 100_000, "ab" * 200 + "c" + "ba" * 200, 80)] == [400, 400]
+
+
 def test_report_and_empty(spark):
     docs, items = _data()
     d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")

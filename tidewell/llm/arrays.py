@@ -45,18 +45,28 @@ def _power(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+class Rolling:
+    """Hashes of the windows of any length of one text: a mixed polynomial hash (modulo 2^64), summed up once."""
+
+    def __init__(self, points: np.ndarray):
+        self.n = len(points)
+        self.sums = np.zeros(self.n + 1, np.uint64)
+        np.cumsum((points.astype(np.uint64) + np.uint64(1)) * _power(_BASE, self.n), out=self.sums[1:])
+
+    def windows(self, k: int) -> np.ndarray:
+        """The hash of each window of k code points, by its first position."""
+        if self.n < k:
+            return np.zeros(0, np.uint64)
+        h = (self.sums[k:] - self.sums[: self.n + 1 - k]) * _power(_INVERSE, self.n - k + 1)
+        h ^= h >> np.uint64(33)
+        h *= np.uint64(0xFF51AFD7ED558CCD)
+        h ^= h >> np.uint64(29)
+        return h
+
+
 def window_hashes(points: np.ndarray, k: int) -> np.ndarray:
-    """A mixed polynomial hash (modulo 2^64) of each window of k code points, by its first position."""
-    n = len(points)
-    if n < k:
-        return np.zeros(0, np.uint64)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((points.astype(np.uint64) + np.uint64(1)) * _power(_BASE, n), out=sums[1:])
-    h = (sums[k:] - sums[:-k]) * _power(_INVERSE, n - k + 1)
-    h ^= h >> np.uint64(33)
-    h *= np.uint64(0xFF51AFD7ED558CCD)
-    h ^= h >> np.uint64(29)
-    return h
+    """The hash of each window of k code points, by its first position."""
+    return Rolling(points).windows(k)
 
 
 def _sliding(values: np.ndarray, w: int, f, pad) -> np.ndarray:

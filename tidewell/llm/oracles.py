@@ -29,6 +29,11 @@ many AS (SELECT w FROM w GROUP BY w HAVING count(*) > 1), s AS (SELECT w.* FROM
 ORACLE: dict[str, str] = {
     "p8_found": _P8 + "SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (w)",
     "p10_found": _P10 + "SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM s a JOIN s b ON a.w = b.w AND a.doc_id < b.doc_id",
+    "p8_report": _P8.replace("dw AS (SELECT doc_id, substr", "dw AS (SELECT doc_id, k, substr").replace("SELECT DISTINCT item_id, substr", "SELECT item_id, k, substr")
+    + """, m AS (SELECT doc_id, item_id, iw.k - dw.k AS diagonal, dw.k AS k FROM dw JOIN iw USING (w)),
+g AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY k) AS run FROM m),
+r AS (SELECT doc_id, item_id, count(*) + 79 AS n FROM g GROUP BY doc_id, item_id, diagonal, run)
+SELECT b.item_id, count(DISTINCT doc_id) AS n_docs, CAST(coalesce(max(n), 0) AS BIGINT) AS longest FROM benchmark b LEFT JOIN r USING (item_id) GROUP BY 1""",
     "p10_report": """WITH w AS (SELECT doc_id, k, md5(substr(text, k, 300)) AS w FROM documents, LATERAL (SELECT unnest(range(1, length(text) - 298)) AS k)),
 many AS (SELECT w FROM w GROUP BY w HAVING min(doc_id) < max(doc_id)), s AS (SELECT doc_id, k, k - lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS gap FROM w SEMI JOIN many ON many.w = w.w),
 c AS (SELECT doc_id, CAST(sum(least(coalesce(gap, 300), 300)) AS BIGINT) AS shared_chars, count(*) FILTER (WHERE gap IS NULL OR gap > 300) AS n_spans FROM s GROUP BY 1)
