@@ -84,6 +84,34 @@ def test_mixing(spark):
     assert sum(x.copies * x.n_tokens for x in half.collect()) == pytest.approx(200_000, rel=0.01)
 
 
+def _solved(sizes, cap, want):
+    """By bisection over plain numbers: the multiplier at which the tilted rates give the tokens wanted."""
+    base, mean = min(1.0, cap / 2), sum(sizes) / len(sizes)
+    rate = lambda lam, t: cap / (1 + (cap / base - 1) * math.exp(max(-700, min(700, -lam * t / mean))))
+    lo, hi = -60.0, 60.0
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if sum(t * rate(mid, t) for t in sizes) < want else (lo, mid)
+    return lo, [rate(lo, t) for t in sizes]
+
+
+def test_rates_solve_the_dual(spark):
+    r = random.Random(3)
+    docs = [(i, f"s{i % 3}", r.randint(1, 400)) for i in range(90)]
+    goals = [("s0", 0.2, 1), ("s1", 0.3, 2), ("s2", 0.5, 4)]
+    sizes = {s: [t for _, x, t in docs if x == s] for s, _, _ in goals}
+    total = min(c * sum(sizes[s]) / w for s, w, c in goals)
+    got = mixing.copies(spark.createDataFrame(docs, "doc_id long, source string, n_tokens long"), spark.createDataFrame(goals, "source string, target_weight double, max_repeats int")).collect()
+    for s, w, cap in goals:
+        want = total * w
+        if want < cap * sum(sizes[s]) * (1 - 1e-9):
+            rates = dict(zip([i for i, x, _ in docs if x == s], _solved(sizes[s], cap, want)[1]))
+            assert all(x.rate == pytest.approx(rates[x.doc_id], abs=1e-6) for x in got if x.source == s)
+        assert all(math.floor(x.rate + 1e-9) <= x.copies <= math.ceil(x.rate - 1e-9) for x in got if x.source == s)
+        # thirty documents: off by far less than one of them
+        assert sum(x.copies * x.n_tokens for x in got if x.source == s) == pytest.approx(want, abs=20)
+
+
 def test_token_counts(spark):
     df = spark.createDataFrame([(1, "a", "Hello world"), (2, "a", None), (3, None, "")], "doc_id long, source string, text string")
     assert {r.doc_id: r.n_tokens for r in mixing.token_counts(df).collect()} == {1: 2, 2: 0, 3: 0}

@@ -11,14 +11,16 @@ with one multiplier per source, the root of a monotone function, found by Newton
 they would leave the bracket. A step needs two sums per source, computed over distinct (source, size) pairs with
 their counts, which is what all documents come down to. Rates become copies by systematic rounding: in order of size the
 running sum of the fractions is cut at whole numbers, so a source's tokens are off by about one document per stratum of
-at most `STRATUM` documents.
+at most `STRATUM` documents. What is off in all is then made up for by rounding `EVENED` documents of each source the
+other way, those whose sizes come nearest to it.
 """
 
 from __future__ import annotations
 
 import base64
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from ..session import settle
 
 STRATUM = 50_000
+EVENED = 2
 STEPS, TOLERANCE = 60, 1e-9
 #: Targets are a table of settings: one multiplier each is held by the driver.
 MOST_TARGETS = 20_000
@@ -35,15 +38,20 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
+@lru_cache(maxsize=2)  # a worker serves many tasks
+def _encoder(ranks: str, pattern: str) -> Callable[[str], list[int]]:
+    import tiktoken
+
+    with open(ranks, "rb") as f:
+        vocabulary = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=vocabulary, special_tokens={}).encode_ordinary
+
+
 def token_counts(docs: DataFrame, ranks: str = DEFAULT_RANKS, pattern: str = PATTERN) -> DataFrame:
     """doc_id, source, n_tokens of each row; a null text has 0. ranks: the vocabulary's file, present on every worker."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tiktoken
-
-        with open(ranks, "rb") as f:
-            vocabulary = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        encode = tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=vocabulary, special_tokens={}).encode_ordinary
+        encode = _encoder(ranks, pattern)
         for b in batches:
             n = [len(encode(t)) if t else 0 for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), pa.array(n, pa.int64())], ["doc_id", "source", "n_tokens"])
@@ -68,7 +76,10 @@ def balance(sized: DataFrame, targets: DataFrame, total: float | None = None) ->
         raise ValueError(f"more than {MOST_TARGETS} targets")
     spark = sized.sparkSession
     schema = "source string, target_weight double, cap double, base double, mean double, multiplier double, total double"
-    facts = {r.source: r for r in sized.where("n_tokens > 0").groupBy("source").agg(F.sum(F.col("docs") * F.col("n_tokens")).alias("tokens"), F.sum("docs").alias("docs")).collect() if r.source in goals}
+    if not goals:
+        return spark.createDataFrame([], schema)
+    sized = sized.where("n_tokens > 0").join(F.broadcast(spark.createDataFrame([(g,) for g in goals], "source string")), "source", "left_semi")
+    facts = {r.source: r for r in sized.groupBy("source").agg(F.sum(F.col("docs") * F.col("n_tokens")).alias("tokens"), F.sum("docs").alias("docs")).collect()}  # one row a target
     if not facts:
         return spark.createDataFrame([], schema)
     whole = sum(goals[s][0] for s in facts)
@@ -88,7 +99,7 @@ def balance(sized: DataFrame, targets: DataFrame, total: float | None = None) ->
         now = spark.createDataFrame([(s, cap[s], base[s], mean[s], at[s]) for s in sorted(open_)], "source string, cap double, base double, mean double, multiplier double")
         x = F.col("n_tokens") / F.col("mean")
         rate = _rate(F.col("cap"), F.col("base"), F.col("multiplier") * x)
-        sums = sized.where("n_tokens > 0").join(F.broadcast(now), "source").groupBy("source").agg(F.sum(F.col("docs") * F.col("n_tokens") * rate).alias("got"), F.sum(F.col("docs") * F.col("n_tokens") * x * rate * (1 - rate / F.col("cap"))).alias("slope"))
+        sums = sized.join(F.broadcast(now), "source").groupBy("source").agg(F.sum(F.col("docs") * F.col("n_tokens") * rate).alias("got"), F.sum(F.col("docs") * F.col("n_tokens") * x * rate * (1 - rate / F.col("cap"))).alias("slope"))
         for r in sums.collect():
             s, gap = r.source, r.got - want[r.source]
             if abs(gap) <= TOLERANCE * want[s]:
@@ -121,7 +132,22 @@ def copies(counted: DataFrame, targets: DataFrame, total: float | None = None) -
     run = F.sum("rate").over(order)
     start = F.pmod(F.xxhash64("source", "part"), F.lit(1000)) / 1000.0  # where the first cut falls
     placed = rated.withColumn("run", run).withColumn("copies", F.least(F.col("cap").cast("bigint"), (F.floor(F.col("run") + start + 1e-9) - F.floor(F.col("run") - F.col("rate") + start + 1e-9)).cast("bigint")))
-    return placed.select("doc_id", "source", "n_tokens", "rate", "copies")
+    return _evened(placed, solved.select("source", (F.col("total") * F.col("target_weight")).alias("want"))).select("doc_id", "source", "n_tokens", "rate", "copies")
+
+
+def _evened(placed: DataFrame, want: DataFrame) -> DataFrame:
+    """The copies with the gap of each source closed as far as rounding single documents the other way does."""
+    for _ in range(EVENED):
+        placed = settle(placed, "placed")
+        gap = want.join(placed.groupBy("source").agg(F.sum(F.col("copies") * F.col("n_tokens")).alias("got")), "source").select("source", (F.col("want") - F.col("got")).alias("gap"))
+        key, rate = F.struct("doc_id", "part", "run"), F.col("rate")
+        room = ((F.col("gap") > 0) & (F.col("copies") < F.ceil(rate - 1e-9))) | ((F.col("gap") < 0) & (F.col("copies") > F.floor(rate + 1e-9)))
+        miss = F.abs(F.abs("gap") - F.col("n_tokens"))
+        near = placed.join(F.broadcast(gap), "source").where(room & (miss < F.abs("gap")))
+        pick = near.groupBy("source").agg(F.min_by(key, F.struct(miss.alias("miss"), "doc_id", "part", "run")).alias("pick"), F.max(F.signum("gap")).cast("bigint").alias("turn"))
+        turned = F.when(F.col("pick") == key, F.col("turn")).otherwise(F.lit(0))
+        placed = placed.join(F.broadcast(pick), "source", "left").withColumn("copies", F.col("copies") + turned).drop("pick", "turn")
+    return placed
 
 
 def shares(used: DataFrame, targets: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.rows import small
 from ..session import configure, table
 from . import boilerplate, cutoffs, incremental, leaks, mixing, residue, sitelines, spans
 
@@ -81,7 +82,7 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
 def _copies(spark: SparkSession, sf: str) -> DataFrame:
     targets = table(spark, sf, "mix_target")
     # only the targets' sources are tokenized
-    docs = _docs(spark, sf).join(F.broadcast(targets.select("source").distinct()), "source", "left_semi")
+    docs = _docs(spark, sf).join(small(targets.select("source").distinct()), "source", "left_semi")
     return mixing.copies(mixing.token_counts(docs), targets)
 
 
