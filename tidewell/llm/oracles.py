@@ -43,6 +43,13 @@ SELECT d.doc_id, CAST(coalesce(length(d.text), 0) AS BIGINT) AS n_chars, coalesc
     "p2_cutoffs": _P2 + "SELECT source, keep_percent, n AS n_records, (SELECT count(*) FROM rec WHERE rec.source = cut.source AND score >= cutoff) AS n_kept, cutoff FROM cut",
     "p4_found": _P4 + "SELECT content_id, CAST(line_no AS INT) AS line_no FROM n JOIN named USING (source, norm)",
     "p4_lines": _P4 + "SELECT source, norm AS line, n_rows FROM named",
+    "p4_excess": _P4
+    + """, every AS (SELECT source, norm, count(DISTINCT content_id) AS n FROM n WHERE norm <> '' GROUP BY ALL), total AS (SELECT norm, sum(n) AS n_total FROM every GROUP BY 1),
+c AS (SELECT named.source, norm AS line, n_rows, CAST(n_total - n_rows AS BIGINT) AS n_outside, CAST(n_rows AS DOUBLE) AS a, CAST(n_source AS DOUBLE) AS n, CAST(n_total - n_rows AS DOUBLE) AS b,
+  CAST((SELECT sum(n_source) FROM size) - n_source AS DOUBLE) AS m FROM named JOIN size USING (source) JOIN total USING (norm)),
+g AS (SELECT *, CASE WHEN a / n <= b / m THEN 0.0 ELSE 2 * (a * ln(a / n / ((a + b) / (n + m))) + CASE WHEN n > a THEN (n - a) * ln((n - a) / n / ((n + m - a - b) / (n + m))) ELSE 0 END
+  + CASE WHEN b > 0 THEN b * ln(b / m / ((a + b) / (n + m))) ELSE 0 END + (m - b) * ln((m - b) / m / ((n + m - a - b) / (n + m)))) END AS g2 FROM c)
+SELECT source, line, n_rows, n_outside, round(g2, 4) AS llr_outside, CASE WHEN g2 > 1 THEN exp(-g2 / 2) / sqrt(2 * pi() * g2) < 0.05 ELSE false END AS only_here FROM g""",
     "p4_texts": _P4
     + """SELECT f.content_id, CASE WHEN f.source IS NULL OR f.text IS NULL THEN f.text ELSE coalesce(k.text, '') END AS text FROM fetched_content f LEFT JOIN (
   SELECT content_id, string_agg(line, chr(10) ORDER BY line_no) AS text FROM n LEFT JOIN named USING (source, norm) WHERE named.norm IS NULL GROUP BY content_id) k ON k.content_id = f.content_id""",

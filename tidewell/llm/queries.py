@@ -54,6 +54,15 @@ def p4_lines(spark: SparkSession, sf: str) -> DataFrame:
     return named.groupBy("source", "line").agg(F.countDistinct("content_id").alias("n_rows"))
 
 
+def p4_excess(spark: SparkSession, sf: str) -> DataFrame:
+    """What the comparison says of each line removed: how often it stands outside, and whether it exceeds that too."""
+    rows = _content(spark, sf)
+    named = sitelines.repeated_lines(rows)
+    lines = sitelines.marked(rows, named, "content_id").select("source", sitelines.norm(F.col("line")).alias("line")).distinct()
+    held = lines.withColumn("h", F.xxhash64("line")).join(small(named.drop("llr")), ["source", "h"])
+    return held.select("source", "line", "n_rows", "n_outside", F.round("llr_outside", 4).alias("llr_outside"), "only_here")
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return residue.residue_rows(_content(spark, sf))
 
@@ -106,4 +115,4 @@ def p10_groups(spark: SparkSession, sf: str) -> DataFrame:
     return spans.groups(_docs(spark, sf).select(F.col("doc_id").alias("id"), "text")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_texts, p2_found, p2_cutoffs, p4_found, p4_texts, p4_lines, p6_found, p6_lines, p7_found, p8_found, p8_tiles, p8_report, p9_copies, p9_shares, p10_found, p10_report, p10_groups)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_texts, p2_found, p2_cutoffs, p4_found, p4_texts, p4_lines, p4_excess, p6_found, p6_lines, p7_found, p8_found, p8_tiles, p8_report, p9_copies, p9_shares, p10_found, p10_report, p10_groups)}

@@ -59,7 +59,8 @@ def _log10_p(g2: Column) -> Column:
 
 
 def repeated_lines(rows: DataFrame, min_rows: int = 5, min_share: float = 0.05, fdr: float = 0.05) -> DataFrame:
-    """source, h, n_rows, n_source, n_outside, llr, only_here: the lines to remove, by hash of their compared form.
+    """source, h, n_rows, n_source, n_outside, llr, llr_outside, only_here: the lines to remove, by hash of their compared
+    form. llr is the ratio they were tested by, llr_outside that against the same line's outside frequency alone.
 
     rows: source, text. Rows with null source, and blank lines, do not count; null and empty texts count as rows of
     their source but hold no line.
@@ -75,7 +76,9 @@ def repeated_lines(rows: DataFrame, min_rows: int = 5, min_share: float = 0.05,
     a, n = F.col("n").cast("double"), F.col("n_source").cast("double")
     m = F.when(F.lit(n_all) > n, F.lit(n_all) - n).otherwise(n)  # a lone source is held against its own average line
     b = F.least(F.when(F.lit(n_all) > n, F.col("n_outside").cast("double")).otherwise(F.lit(mean)), F.lit(mean))
-    tested = settle(tested.withColumn("llr", _g2(a, n, b, m)).withColumn("p", F.ceil(_log10_p(F.col("llr")) * 10)).withColumn("only_here", _log10_p(_g2(a, n, F.col("n_outside").cast("double"), m)) < math.log10(fdr)), "tested")
+    own = _g2(a, n, F.col("n_outside").cast("double"), m)
+    tested = tested.withColumn("llr", _g2(a, n, b, m)).withColumn("p", F.ceil(_log10_p(F.col("llr")) * 10)).withColumn("llr_outside", own)
+    tested = settle(tested.withColumn("only_here", _log10_p(F.col("llr_outside")) < math.log10(fdr)), "tested")
     # p is in tenths of a decade: a few thousand values at most, whatever the input
     steps = tested.groupBy("p").agg(F.count(F.lit(1)).alias("c")).orderBy("p").collect()
     n_tests, seen, limit = sum(s["c"] for s in steps), 0, None
@@ -84,7 +87,7 @@ def repeated_lines(rows: DataFrame, min_rows: int = 5, min_share: float = 0.05,
         if s["p"] / 10 <= math.log10(fdr * seen / n_tests):
             limit = s["p"]
     significant = tested.where(F.lit(False) if limit is None else F.col("p") <= limit)
-    return significant.where((F.col("n") >= min_rows) & (F.col("n") >= F.col("n_source") * min_share - 1e-9)).select("source", "h", F.col("n").alias("n_rows"), "n_source", "n_outside", "llr", "only_here")
+    return significant.where((F.col("n") >= min_rows) & (F.col("n") >= F.col("n_source") * min_share - 1e-9)).select("source", "h", F.col("n").alias("n_rows"), "n_source", "n_outside", "llr", "llr_outside", "only_here")
 
 
 def with_named(rows: DataFrame, named: DataFrame) -> DataFrame:
