@@ -21,6 +21,7 @@ links in rows that grow with the records.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -103,13 +104,37 @@ def _windows(least: int, length: int, step: int):
 
 
 class Index:
-    """The windows of a text, in order of their hashes."""
+    """The hashes of a text's windows; in order, and marked by their low bits, once they are looked up."""
 
     def __init__(self, text: str, least: int):
         self.text, self.least = text, least
         self.h = window_hashes(code_points([text])[0], least)
-        self.order = np.argsort(self.h, kind="stable")
-        self.sorted = self.h[self.order]
+
+    @cached_property
+    def order(self) -> np.ndarray:
+        return np.argsort(self.h, kind="stable")
+
+    @cached_property
+    def sorted(self) -> np.ndarray:
+        return self.h[self.order]
+
+    @cached_property
+    def marks(self) -> np.ndarray:
+        """Whether a window's hash has these low bits: most windows of other texts are ruled out by one look."""
+        bits = max(10, int(len(self.h) * 16).bit_length())
+        marks = np.zeros(1 << bits, bool)
+        marks[(self.h & np.uint64(len(marks) - 1)).view(np.int64)] = True
+        return marks
+
+    def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are held, and where in order each begins."""
+        if not len(h) or not len(self.h):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        maybe = np.flatnonzero(self.marks[(h & np.uint64(len(self.marks) - 1)).view(np.int64)])
+        at = np.searchsorted(self.sorted, h[maybe])
+        at[at == len(self.h)] = 0
+        good = self.sorted[at] == h[maybe]
+        return maybe[good], at[good]
 
 
 def _length(a: str, b: str, i: int, j: int) -> int:
@@ -127,13 +152,10 @@ def _length(a: str, b: str, i: int, j: int) -> int:
 def factors(of: Index, ref: Index) -> list[tuple[int, int, int]]:
     """Greedy factors of a text relative to a reference: (start, start in the reference, length), each `least` long or
     longer. Together they cover every span of that length that the reference holds."""
-    if not len(of.h) or not len(ref.h):
-        return []
-    at = np.minimum(np.searchsorted(ref.sorted, of.h), len(ref.h) - 1)
-    hits = np.flatnonzero(ref.sorted[at] == of.h)
+    hits, at = ref.hits(of.h)
     out, k = [], 0
     while k < len(hits):
-        i, s, n, j = int(hits[k]), int(at[hits[k]]), 0, 0
+        i, s, n, j = int(hits[k]), int(at[k]), 0, 0
         while s < len(ref.h) and ref.sorted[s] == of.h[i] and n < of.least:  # the first place that holds the window itself
             j = int(ref.order[s])
             n = _length(of.text, ref.text, i, j)
@@ -161,8 +183,10 @@ def _parsed(least: int):
                     held, index = key, Index(text, least)
                 elif held == key:
                     part = Index(text, least)
-                    out.extend((other, key, i, i + n) for i, _, n in factors(part, index))
-                    out.extend((key, other, i, i + n) for i, _, n in factors(index, part))
+                    found = factors(part, index)
+                    if found:  # else the reference holds nothing of it either
+                        out.extend((other, key, i, i + n) for i, _, n in found)
+                        out.extend((key, other, i, i + n) for i, _, n in factors(index, part))
             cols = zip(*out) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["id", "other", "start", "stop"])
 
