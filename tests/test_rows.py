@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import text as tx
 from tidewell.functions import urls
+from tidewell.functions import text
 from tidewell.operators import content, rows, sinks
 
 
@@ -88,17 +89,39 @@ def test_json_contract(spark):
 def test_verdict(spark):
     v = lambda t, title, s: one(spark, content.verdict(F.lit(t), F.lit(title), F.lit(s))["kind"])
     assert v("", None, "web_article") == "validation_failed"
-    assert v("Access denied", "t", "twitter_thread") == "content_blocked"
+    assert v("Please complete verification", "t", "twitter_thread") == "content_blocked"
     assert v("short", "t", "web_article") == "content_blocked" and v("short", "t", "twitter_thread") is None
-    assert v("word " * 100, "t", "web_article") is None
+    assert v("word " * 100, "t", "web_article") is None and v("word\u00a0" * 100, "t", "web_article") is None
+    assert v("word " * 100 + "Become a subscriber", "t", "web_article") == "content_blocked" and v("word " * 500 + "Become a subscriber", "t", "web_article") is None
+
+
+def test_keywords_stand_between_others(spark):
+    hits = lambda t, *w: one(spark, text.hits(F.lit(t), list(w)))
+    assert hits("AI, c++ and said", "ai", "id", "C++", "and") == 3 and hits("融资了", "融资") == 1 and hits(None, "ai") == 0
+    assert one(spark, text.relevance(F.lit(1), F.lit(2), F.lit(0), F.lit(5))) == 5 and one(spark, text.relevance(F.lit(9), F.lit(0), F.lit(1), F.lit(0))) is None
+    assert one(spark, text.snippet(F.lit("---\ntitle: x\n---\n# H\n\na | b\nc"))) == "a / b c" and one(spark, text.inline(F.lit("a &amp;\n &#8217; "))) == "a & ’"
+
+
+def test_brief(spark):
+    broken = lambda b, s: one(spark, content.brief_faults(F.lit(b), F.lit(s)))
+    assert broken(" ", "x") == ["empty"] and broken("text https://a.example/1", None) == []
+    assert broken("「some words」 https://a.example", "has some  words here") == [] and broken("「other words」 https://a.example", "has some words") == ["quote"]
+    assert broken("总的来说" + "x" * 300, "") == ["too_long", "no_url", "filler"]
+
+
+def test_evidence_falls_back_to_the_beginning(spark):
+    df = spark.createDataFrame([(1, "Short one. Another."), (2, None), (3, " \n"), (4, "x" * 400)], "id int, text string")
+    assert {(r.id, r.rank, r.sentence) for r in content.evidence(df, "id", ["revenue"]).collect()} == {(1, 1, "Short one. Another."), (4, 1, "x" * 260)}
 
 
 def test_compression_keeps_order_and_short_texts(spark):
     long = "\n".join(f"Paragraph {i} with enough characters to count, and revenue {i}." * 4 for i in range(80))
     df = spark.createDataFrame([(1, long), (2, "short"), (3, None)], "id int, text string")
-    got = {r.id: r for r in content.compressed(df, "id").collect()}
+    got = {r.id: r for r in content.compressed(df, "id", in_order=True).collect()}
     numbers = [int(p.split()[1]) for p in got[1].text.split("\n\n")]
-    assert numbers == sorted(numbers) and got[1].n_after <= 8000 and got[2].text == "short" and got[3].text == ""
+    assert numbers == sorted(numbers) and got[1].n_after <= 8000 and got[2].text == "short" and got[3].text == "" and got[3].ratio == 1.0
+    first = content.compressed(df, "id").where("id = 1").first().text.split("\n\n")
+    assert [int(p.split()[1]) for p in first][:6] == [79, 78, 77, 2, 1, 0]  # the heaviest first, the later of equals
 
 
 def test_ledger_and_files(spark, tmp_path):
@@ -116,8 +139,8 @@ def test_ledger_and_files(spark, tmp_path):
 def test_quotes(spark, monkeypatch):
     items = spark.createDataFrame([(1, "abcdef"), (2, "abc"), (3, ""), (4, None), (5, "abc")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "xxabcabcdefabc"), (2, "ab"), (3, None), (None, "abc")], "doc_id long, text string").withColumn("quote", F.lit("x"))
-    want = {(1, 1), (2, 1), (5, 1), (2, None), (5, None)}
-    assert {tuple(r) for r in content.quotes_located(items, docs).collect()} == want
+    want = {(1, 1, 1), (2, 1, 1), (5, 1, 1)}
+    assert {tuple(r) for r in content.quotes_located(items, docs, 3).collect()} == want
     monkeypatch.setattr(content, "MOST_QUOTES", 1)
-    assert {tuple(r) for r in content.quotes_located(items, docs).collect()} == want
+    assert {tuple(r) for r in content.quotes_located(items, docs, 3).collect()} == want
     assert content.quotes_located(items.limit(0), docs).count() == 0

@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+import html
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+#: White space as Unicode has it, and the separators of files, groups, records and units.
+SPACES = r" \t\n\r\f\x0B\x1C-\x1F\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+BLANK = f"[{SPACES}]+"
 
-BLANK = r"[ \t\n\r\f\x0B]+"
+
+def strip(text: Column) -> Column:
+    """A text without white space at its ends."""
+    return F.regexp_replace(text, f"^{BLANK}|{BLANK}$", "")
 
 
 def short_hash(value: Column, length: int = 16) -> Column:
@@ -14,7 +26,7 @@ def short_hash(value: Column, length: int = 16) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Words between ASCII white space; 0 for null."""
+    """Words between white space; 0 for null."""
     return F.coalesce(F.size(F.filter(F.split(text, BLANK), lambda w: w != "")), F.lit(0)).cast("bigint")
 
 
@@ -53,20 +65,48 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, r"(?<=[.!?])[ \t]+|(?<=[。!?])\n*|\n+"), lambda s: F.trim(s)), lambda s: s != "")
 
 
+def has_keyword(text: Column, word: str) -> Column:
+    """Whether a text holds a keyword: one of ASCII letters or digits between others than such, in any case; another as
+    it stands. Never null."""
+    if word.isascii() and any(c.isalnum() for c in word):
+        return F.coalesce(text.rlike(rf"(?i)(?<![A-Za-z0-9]){re.escape(word)}(?![A-Za-z0-9])"), F.lit(False))
+    return F.coalesce(F.contains(text, F.lit(word)), F.lit(False))
+
+
 def hits(text: Column, terms: list[str]) -> Column:
-    """How many of the terms a text contains, letter case ignored."""
-    low = F.lower(text)
-    total = F.lit(0)
-    for t in terms:
-        total = total + F.coalesce(F.contains(low, F.lit(t.lower())), F.lit(False)).cast("int")
-    return total
+    """How many of the keywords a text holds."""
+    return sum((has_keyword(text, t).cast("int") for t in terms), F.lit(0))
 
 
-def has_keyword(text: Column, word: str) -> Column:
-    """Whether a text holds a keyword: an ASCII one between non-alphanumerics in any case, another as a substring."""
-    if word.isascii():
-        return text.rlike(rf"(?i)(?<![A-Za-z0-9]){word}(?![A-Za-z0-9])")
-    return F.contains(text, F.lit(word))
+def relevance(ai: Column, infra: Column, finance: Column, company: Column, most_companies: int = 2) -> Column:
+    """The weight of a note by its keywords; null where they do not belong together."""
+    belong = ((infra >= 2) & (ai >= 1)) | ((infra >= 1) & (finance >= 1)) | ((infra >= 1) & (ai >= 1) & (company >= 1)) | (finance >= 2) | ((finance >= 1) & (company >= 1))
+    return F.when(belong, ai + infra + finance + F.least(company, F.lit(most_companies)))
+
+
+def snippet(markdown: Column, length: int = 140, otherwise: str = "") -> Column:
+    """The first `length` characters of a Markdown text's plain lines: no front matter, no headings, bars as slashes."""
+    body = F.regexp_replace(markdown, r"(?s)^\s*---[ \t]*\n.*?\n[ \t]*---[ \t]*(?:\n|$)", "")
+    lines = F.transform(F.split(body, "\n"), lambda x: F.replace(strip(x), F.lit("|"), F.lit("/")))
+    plain = F.array_join(F.filter(lines, lambda x: (x != "") & ~x.startswith("#") & (x != "---")), " ")
+    return F.coalesce(F.nullif(F.substring(plain, 1, length), F.lit("")), F.lit(otherwise))
+
+
+@F.pandas_udf(StringType())
+def unescaped(text: pd.Series) -> pd.Series:
+    """Character references (`&amp;`, `&#8217;`) read; named ones are too many for an expression."""
+    return text.map(html.unescape, na_action="ignore")
+
+
+def inline(text: Column) -> Column:
+    """A text on one line: character references read, white space single."""
+    return F.trim(F.regexp_replace(unescaped(text), BLANK, " "))
+
+
+def post_facts(text: Column, url: Column) -> Column:
+    """subreddit, points, comments, author of a post as discussion sites write them; each '' where it is not said."""
+    of = lambda pattern, where: F.coalesce(F.regexp_extract(where, pattern, 1), F.lit(""))
+    return F.struct(of(r"/r/([^/]+)", url).alias("subreddit"), of(r"(?i)([0-9]+(?:\.[0-9]+[kK])?)\s+points?", text).alias("points"), of(r"(?i)([0-9]+)\s+comments?", text).alias("comments"), of(r"(?i)\bby\s+([A-Za-z0-9_-]+)", text).alias("author"))
 
 
 def month_week(ts: Column) -> Column:

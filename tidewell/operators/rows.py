@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import settle
+
 #: A side of a join is broadcast up to this many rows, counted first; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
 
@@ -77,7 +79,7 @@ def streaks(df: DataFrame, key: str, order: str, failed: Column, chunks: int = 6
     so_far = Window.partitionBy(key, "_piece").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     marked = marked.withColumn("_island", F.sum(1 - F.col("_f")).over(so_far))
     run = Window.partitionBy(key, "_piece", "_island").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    local = marked.withColumn("_run", F.sum("_f").over(run))
+    local = settle(marked.withColumn("_run", F.sum("_f").over(run)), "streaks")  # read four times below
     # of each piece: the successes in it and the failures it ends with
     ends = local.groupBy(key, "_piece").agg(F.max("_island").alias("_s"))
     tails = local.join(ends.select(F.col(key).alias("_k"), F.col("_piece").alias("_p"), "_s"), F.col(key).eqNullSafe(F.col("_k")) & (F.col("_piece") == F.col("_p")) & (F.col("_island") == F.col("_s")))

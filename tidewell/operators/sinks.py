@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import short_hash, slug
+from ..session import settle
 
 
 def new_lines(lines: DataFrame, ledger: DataFrame, column: str = "line") -> DataFrame:
@@ -23,7 +24,7 @@ def append_lines(lines: DataFrame, path: str, column: str = "line") -> DataFrame
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     there = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
     fresh = new_lines(lines, spark.read.text(path).withColumnRenamed("value", column), column) if there else lines.select(column).distinct()
-    fresh = fresh.cache()
+    fresh = settle(fresh, "lines")  # worked out again after the append it would be empty
     fresh.select(F.col(column).alias("value")).write.mode("append").text(path)
     return fresh
 

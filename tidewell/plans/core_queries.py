@@ -16,7 +16,7 @@ from ..streaming import flows
 
 AS_OF = "2025-08-15 00:00:00"
 TERMS = ["revenue", "renewed", "percent"]
-GROUPS = {"ai": ["agent", "model evaluation", "edge inference"], "infra": ["data centre", "grid storage", "chip packaging"], "finance": ["revenue", "margin", "investors"]}
+GROUPS = {"ai": ["agent", "model evaluation", "edge inference"], "infra": ["data centre", "grid storage", "chip packaging"], "finance": ["revenue", "margin", "investors"], "company": ["customer", "vendor", "融资"]}
 STATES = ["pending", "processing", "sent", "failed", "archived"]
 SEVERITY = ["healthy", "warning", "error", "critical"]
 
@@ -69,16 +69,16 @@ def urls_in_text(t):
 
 
 # Joins ---------------------------------------------------------------------------------------------------------------
-@query("SELECT item_id, url FROM source_item s WHERE NOT EXISTS (SELECT 1 FROM queue_task q WHERE q.url = s.url) AND url IS NOT NULL")
+@query("SELECT item_id, url FROM source_item s WHERE NOT EXISTS (SELECT 1 FROM queue_task q WHERE q.url = s.url AND q.batch_no = 0) AND url IS NOT NULL")
 def anti_join_queue(t):
-    return rows.unseen(t("source_item").select("item_id", "url").where("url IS NOT NULL"), t("queue_task"), "url")
+    return rows.unseen(t("source_item").select("item_id", "url").where("url IS NOT NULL"), t("queue_task").where("batch_no = 0"), "url")
 
 
-@query(f"""WITH i AS (SELECT item_id, {_NORM} AS u FROM source_item), q AS (SELECT DISTINCT {_NORM} AS u FROM queue_task)
+@query(f"""WITH i AS (SELECT item_id, {_NORM} AS u FROM source_item), q AS (SELECT DISTINCT {_NORM} AS u FROM queue_task WHERE batch_no = 0)
 SELECT min(item_id) AS item_id, u AS url_norm FROM i WHERE u IS NOT NULL AND u NOT IN (SELECT u FROM q WHERE u IS NOT NULL) GROUP BY u""")
 def filter_unseen(t):
     norm = urls.normalize(F.col("url")).alias("url_norm")
-    fresh = rows.unseen(t("source_item").select("item_id", norm).where("url_norm IS NOT NULL"), t("queue_task").select(norm), "url_norm")
+    fresh = rows.unseen(t("source_item").select("item_id", norm).where("url_norm IS NOT NULL"), t("queue_task").where("batch_no = 0").select(norm), "url_norm")
     return fresh.groupBy("url_norm").agg(F.min("item_id").alias("item_id"))
 
 
@@ -105,16 +105,18 @@ def bundle_cross_eval(t):
     return scores.groupBy("stored").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(bundles), F.col("bundle") != F.col("stored")).select("bundle", "stored", "n")
 
 
-@query("SELECT DISTINCT b.item_id, d.doc_id FROM documents d JOIN benchmark b ON contains(d.text, substr(b.text, 1, 60)) WHERE substr(b.text, 1, 60) <> ''")
+@query(r"""WITH q AS (SELECT DISTINCT item_id, trim(unnest(string_split(regexp_replace(regexp_replace(regexp_replace(text, '([.!?])[ \t]+', '\1' || chr(1), 'g'), '([。!?])', '\1' || chr(1), 'g'), '\n+', chr(1), 'g'), chr(1)))) AS q FROM benchmark)
+SELECT item_id, doc_id, count(*) AS n_quotes FROM documents JOIN (SELECT * FROM q WHERE length(q) >= 40) ON contains(text, q) GROUP BY ALL""")
 def quote_locatable(t):
     return content.quotes_located(t("benchmark"), t("documents"))
 
 
-@query("""WITH f AS (SELECT url, content_hash, row_number() OVER (PARTITION BY url ORDER BY content_id) AS k, row_number() OVER (PARTITION BY url ORDER BY content_id DESC) AS r FROM fetched_content WHERE url IS NOT NULL)
-SELECT a.url, a.content_hash AS stored, b.content_hash AS current FROM f a JOIN f b USING (url) WHERE a.k = 1 AND b.r = 1 AND a.content_hash <> b.content_hash AND a.content_hash <> '' AND b.content_hash <> ''""")
+@query("""WITH f AS (SELECT title, content_hash, row_number() OVER (PARTITION BY title ORDER BY content_id) AS k, row_number() OVER (PARTITION BY title ORDER BY content_id DESC) AS r FROM fetched_content WHERE title IS NOT NULL)
+SELECT a.title, a.content_hash AS stored, b.content_hash AS current FROM f a JOIN f b USING (title) WHERE a.k = 1 AND b.r = 1 AND a.content_hash <> b.content_hash AND a.content_hash <> '' AND b.content_hash <> ''""")
 def fingerprint_drift(t):
-    f = t("fetched_content").where("url IS NOT NULL").select("url", "content_hash", "content_id")
-    return rows.drift(rows.first_per(f, F.col("url"), ["content_id"]), rows.last_per(f, F.col("url"), ["content_id"]), "url", "content_hash")
+    """Titles whose first and latest fetched texts differ."""
+    f = t("fetched_content").where("title IS NOT NULL").select("title", "content_hash", "content_id")
+    return rows.drift(rows.first_per(f, F.col("title"), ["content_id"]), rows.last_per(f, F.col("title"), ["content_id"]), "title", "content_hash")
 
 
 @query("SELECT DISTINCT result_title AS line FROM queue_task WHERE result_title IS NOT NULL AND batch_no > 0 AND result_title NOT IN (SELECT result_title FROM queue_task WHERE batch_no = 0 AND result_title IS NOT NULL)")
@@ -220,9 +222,12 @@ def item_lookback_filter(t):
     return t("source_item").join(rows.small(config), "source_id").where(F.col("discovered_ts").isNull() | (F.col("discovered_ts") >= cutoff)).select("item_id")
 
 
-@query("SELECT content_id, score_id, final_score FROM (SELECT *, row_number() OVER (PARTITION BY content_id ORDER BY scored_ts DESC, score_id DESC) AS k FROM score_result) WHERE k = 1")
+@query("SELECT content_id, score_id, CASE WHEN NOT isnan(final_score) THEN final_score ELSE -1 END AS final_score, final_score IS NULL OR isnan(final_score) AS unset FROM (SELECT *, row_number() OVER (PARTITION BY content_id ORDER BY scored_ts DESC, score_id DESC) AS k FROM score_result) WHERE k = 1")
 def latest_by_id(t):
-    return rows.last_per(t("score_result").select("content_id", "score_id", "final_score", "scored_ts"), F.col("content_id"), ["scored_ts", "score_id"]).select("content_id", "score_id", "final_score")
+    """A score that is null or no number comes as -1 and unset."""
+    unset = F.col("final_score").isNull() | F.isnan("final_score")
+    _set_score = (F.when(unset, F.lit(-1.0)).otherwise(F.col("final_score")).alias("final_score"), unset.alias("unset"))
+    return rows.last_per(t("score_result").select("content_id", "score_id", "final_score", "scored_ts"), F.col("content_id"), ["scored_ts", "score_id"]).select("content_id", "score_id", *_set_score)
 
 
 @query("""SELECT source_type, score_id, best FROM (SELECT source_type, score_id, row_number() OVER (PARTITION BY source_type ORDER BY final_score DESC, score_id) AS b, row_number() OVER (PARTITION BY source_type ORDER BY final_score, score_id) AS w
@@ -282,7 +287,7 @@ def content_hash(t):
     return t("documents").select("doc_id", tx.short_hash(F.col("text")).alias("h"))
 
 
-@query(r"SELECT doc_id, coalesce(len(list_filter(string_split_regex(text, '[ \t\n\r\f\x0B]+'), lambda w: w <> '')), 0) AS n_words FROM documents")
+@query(r"SELECT doc_id, coalesce(len(list_filter(string_split_regex(text, '[\t\n\r\f\x0B\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'), lambda w: w <> '')), 0) AS n_words FROM documents")
 def word_count(t):
     return t("documents").select("doc_id", tx.word_count(F.col("text")).alias("n_words"))
 
@@ -302,50 +307,115 @@ def month_week_counts(t):
     return t("source_item").groupBy(tx.month_week(F.col("discovered_ts")).alias("month_week")).agg(F.count(F.lit(1)).alias("n"))
 
 
-_HITS = lambda g: " + ".join(f"CAST(contains(lower(text), '{w}') AS INT)" for w in GROUPS[g])
+_HAS = lambda w: f"CAST(regexp_matches(text, '(?i)(^|[^A-Za-z0-9]){w}($|[^A-Za-z0-9])') AS INT)" if w.isascii() else f"CAST(contains(text, '{w}') AS INT)"
+_HITS = "SELECT doc_id, " + ", ".join(f"coalesce({' + '.join(map(_HAS, words))}, 0) AS {g}" for g, words in GROUPS.items()) + " FROM documents"
 
 
-@query(f"SELECT doc_id, {_HITS('ai')} AS ai, {_HITS('infra')} AS infra, {_HITS('finance')} AS finance FROM documents")
-def keyword_hits(t):
+def _hits(t):
     return t("documents").select("doc_id", *[tx.hits(F.col("text"), w).alias(g) for g, w in GROUPS.items()])
 
 
-@query(f"SELECT doc_id, {_HITS('ai')} + {_HITS('infra')} + least({_HITS('finance')}, 2) AS relevance FROM documents ORDER BY relevance DESC, doc_id LIMIT 8")
+@query(_HITS)
+def keyword_hits(t):
+    return _hits(t)
+
+
+@query(f"""SELECT doc_id, ai + infra + finance + least(company, 2) AS relevance FROM ({_HITS})
+WHERE (infra >= 2 AND ai >= 1) OR (infra >= 1 AND finance >= 1) OR (infra >= 1 AND ai >= 1 AND company >= 1) OR finance >= 2 OR (finance >= 1 AND company >= 1) ORDER BY relevance DESC, doc_id LIMIT 8""")
 def keyword_relevance_topk(t):
-    h = {g: tx.hits(F.col("text"), w) for g, w in GROUPS.items()}
-    return t("documents").select("doc_id", (h["ai"] + h["infra"] + F.least(h["finance"], F.lit(2))).alias("relevance")).orderBy(F.desc("relevance"), "doc_id").limit(8)
+    weight = tx.relevance(*[F.col(g) for g in GROUPS]).alias("relevance")
+    return _hits(t).select("doc_id", weight).where("relevance IS NOT NULL").orderBy(F.desc("relevance"), "doc_id").limit(8)
+
 
+_WS = r"[\t\n\r\f\x0B\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 
-@query(r"""WITH s AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(regexp_replace(text, '([.!?])[ \t]+', '\1' || chr(1), 'g'), '([。!?])', '\1' || chr(1), 'g'), '\n+', chr(1), 'g'), chr(1)) AS l FROM documents),
-e AS (SELECT doc_id, trim(unnest(l)) AS sentence, generate_subscripts(l, 1) AS i FROM s),
+
+@query(rf"""WITH f AS (SELECT doc_id, trim(regexp_replace(text, '{_WS}', ' ', 'g')) AS t FROM documents),
+s AS (SELECT doc_id, string_split(regexp_replace(t, '([.!?]) ', '\1' || chr(1), 'g'), chr(1)) AS l FROM f WHERE t <> ''),
+e AS (SELECT doc_id, unnest(l) AS sentence, generate_subscripts(l, 1) AS i FROM s),
 w AS (SELECT *, 3 * (CAST(contains(lower(sentence), 'revenue') AS INT) + CAST(contains(lower(sentence), 'renewed') AS INT) + CAST(contains(lower(sentence), 'percent') AS INT)) + 2 * CAST(contains(sentence, '$') AS INT)
-  + 2 * CAST(regexp_matches(sentence, '[0-9] ?(%|percent|million|billion)') AS INT) AS w FROM e WHERE sentence <> '' AND length(sentence) BETWEEN 50 AND 320)
-SELECT doc_id, CAST(k AS INT) AS rank, sentence FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, i) AS k FROM w) WHERE k <= 3""")
+  + 2 * CAST(regexp_matches(lower(sentence), '\b[0-9]+(?:\.[0-9]+)?[ ]*(?:m|b|million|billion)\b') AS INT) AS w FROM e WHERE length(sentence) BETWEEN 50 AND 320),
+k AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, i) AS k, sentence FROM w)
+SELECT doc_id, CAST(k AS INT) AS rank, sentence FROM k WHERE k <= 3 UNION ALL SELECT doc_id, 1, trim(substr(t, 1, 260)) FROM f WHERE t <> '' AND doc_id NOT IN (SELECT doc_id FROM k)""")
 def evidence_sentences(t):
     return content.evidence(t("documents"), "doc_id", TERMS)
 
 
-@query(r"""WITH p AS (SELECT doc_id, trim(unnest(string_split_regex(text, '\n+'))) AS p, generate_subscripts(string_split_regex(text, '\n+'), 1) AS k FROM documents WHERE length(text) > 10000),
-d AS (SELECT doc_id, p, min(k) AS k FROM p WHERE length(p) >= 20 GROUP BY doc_id, p),
+_SUM = lambda words: " + ".join(f"2 * CAST(contains(lower(p), '{w}') AS INT)" for w in words)
+_SKIP = " OR ".join(f"contains(lower(p), '{w}')" for w in content.SKIPPED)
+_SHORT = rf"""WITH base AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), long AS (SELECT * FROM base WHERE length(t) > 3000),
+c AS (SELECT doc_id, string_split(regexp_replace(t, '(?i){"|".join(content.NOISE)}', '', 'g'), chr(10)) AS l FROM long),
+p AS (SELECT doc_id, regexp_replace(unnest(l), '^{_WS}|{_WS}$', '', 'g') AS p, generate_subscripts(l, 1) AS k FROM c),
+d AS (SELECT doc_id, p, min(k) AS k FROM p WHERE length(p) >= 20 AND NOT ({_SKIP}) GROUP BY doc_id, p),
 i AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS i, count(*) OVER (PARTITION BY doc_id) AS n FROM d),
-w AS (SELECT *, 2 * CAST(i < 3 OR i >= n - 3 AS INT) + CAST(regexp_matches(p, '[0-9]') AS INT) + CAST(contains(lower(p), 'percent') AS INT) + CAST(contains(lower(p), 'million') AS INT) + CAST(contains(lower(p), 'revenue') AS INT)
-  + CAST(contains(lower(p), 'customer') AS INT) + CAST(contains(lower(p), 'risk') AS INT) AS w FROM i),
-b AS (SELECT doc_id, substr(string_agg(p, chr(10) || chr(10) ORDER BY i), 1, 8000) AS text FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, i) AS r FROM w) WHERE r <= 15 GROUP BY doc_id)
-SELECT o.doc_id, length(coalesce(o.text, '')) AS n_before, length(t) AS n_after, t AS text FROM (SELECT d.doc_id, d.text, CASE WHEN length(d.text) > 10000 THEN coalesce(b.text, '') ELSE coalesce(d.text, '') END AS t FROM documents d LEFT JOIN b USING (doc_id)) o""")
+w AS (SELECT *, 3 * CAST(i < 3 OR i >= n - 3 AS INT) + CAST(length(p) BETWEEN 50 AND 300 AS INT) + %s AS w FROM i),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, i DESC) AS r FROM w),
+b AS (SELECT doc_id, string_agg(p, chr(10) || chr(10) ORDER BY %s) AS j FROM r WHERE r <= %d GROUP BY doc_id),
+h AS (SELECT doc_id, j, substr(j, 1, 2500) AS h, length(substr(j, 1, 2500)) - position('。' IN reverse(substr(j, 1, 2500))) AS stop FROM b),
+o AS (SELECT base.doc_id, t, CASE WHEN length(t) <= 3000 THEN t WHEN j IS NULL THEN substr(t, 1, 2500)
+  ELSE regexp_replace(CASE WHEN length(j) <= 2500 THEN j WHEN contains(h, '。') AND stop > 2000 THEN substr(h, 1, stop + 1) ELSE h END, '^{_WS}|{_WS}$', '', 'g') END AS x FROM base LEFT JOIN h USING (doc_id))
+SELECT doc_id, length(t) AS n_before, length(x) AS n_after, length(t) - length(x) AS saved, CASE WHEN length(t) > 0 THEN round(length(x) / length(t), 3) ELSE 1.0 END AS ratio, x AS text FROM o"""
+WEIGHTY = ["revenue", "customer", "risk", "数据", "增长"]
+
+
+@query(_SHORT % (_SUM(content.PHRASES), "w DESC, i DESC", 15))
 def long_text_compress(t):
-    return content.compressed(t("documents"), "doc_id")
+    """Texts beyond 3 000 characters, as the given ones are shorter than the operator's defaults."""
+    return content.compressed(t("documents"), "doc_id", long=3_000, cut=2_500)
+
+
+@query(_SHORT % (_SUM(WEIGHTY), "i", 20))
+def long_text_in_order(t):
+    return content.compressed(t("documents"), "doc_id", long=3_000, cut=2_500, keep=20, terms=WEIGHTY, in_order=True)
 
 
-_WORDS = lambda x: rf"len(list_filter(string_split_regex({x}, '[ \t\n\r\f\x0B]+'), lambda w: w <> ''))"
-_ANY = lambda marks: "(" + " OR ".join(f"contains(lower(t), '{m}')" for m in marks) + ")"
+_WORDS = lambda x: f"len(list_filter(string_split_regex({x}, '{_WS}'), lambda w: w <> ''))"
+_ANY = lambda marks, x="t": "(" + " OR ".join(f"contains(lower({x}), '{m}')" for m in marks) + ")"
+_BARE = lambda x: f"regexp_replace(coalesce({x}, ''), '^{_WS}|{_WS}$', '', 'g')"
 
 
-@query(f"""WITH x AS (SELECT content_id, coalesce(text, '') AS t, coalesce(title, '') AS h, source_type IN ('web_article', 'rss_feed', 'wechat_article') AS page, source_type FROM fetched_content)
-SELECT content_id, CASE WHEN trim(t) = '' THEN 'validation_failed' WHEN {_ANY(content.BLOCKED)} OR (source_type = 'wechat_article' AND length(t) < 200) OR (page AND {_WORDS("t")} < 80)
-  OR (page AND h <> '' AND {_WORDS("replace(t, h, '')")} < 30) OR (page AND ({_ANY(content.SHELL)} OR {_ANY(content.LOGIN)})) OR (page AND {_ANY(content.PAYWALL)} AND {_WORDS("t")} < 450) THEN 'content_blocked' END AS kind FROM x""")
+@query(f"""WITH x AS (SELECT content_id, {_BARE("text")} AS t, {_BARE("title")} AS h, source_type IN ('web_article', 'rss_feed', 'wechat_article') AS page, source_type FROM fetched_content),
+k AS (SELECT content_id, CASE WHEN t = '' THEN 1 WHEN {_ANY(content.BLOCKED)} OR (source_type = 'wechat_article' AND length(t) < 200) THEN 2
+  WHEN page AND ({_WORDS("t")} < 80 OR (h <> '' AND {_WORDS("replace(t, h, '')")} < 30) OR {_ANY(content.SHELL)} OR {_ANY(content.LOGIN)} OR ({_ANY(content.PAYWALL)} AND {_WORDS("t")} < 450)) THEN 3 END AS k FROM x)
+SELECT content_id, CASE k WHEN 1 THEN 'validation_failed' WHEN 2 THEN 'content_blocked' WHEN 3 THEN 'content_blocked' END AS kind, CASE k WHEN 1 THEN 'drop' WHEN 2 THEN 'manual_review' WHEN 3 THEN 'drop' END AS action FROM k""")
 def validate_ladder(t):
     v = content.verdict(F.col("text"), F.col("title"), F.col("source_type"))
-    return t("fetched_content").select("content_id", v["kind"].alias("kind"))
+    return t("fetched_content").select("content_id", v["kind"].alias("kind"), v["action"].alias("action"))
+
+
+@query(rf"""WITH x AS (SELECT content_id, {_HOST('url')} AS host, coalesce(title, '') || chr(10) || coalesce(text, '') AS b, coalesce(text, '') AS t, coalesce(raw, '') AS raw FROM fetched_content),
+n AS (SELECT *, {_WORDS("t")} AS n, {_ANY(content.PAYWALL, "b")} AS m FROM x)
+SELECT content_id, CASE WHEN contains(host, 'ledgerpost') THEN m OR n < 350 ELSE m AND n < 450 END AS paywalled, NOT {_ANY(content.PAYWALL)} AND n >= 350 AS real_body,
+  {_ANY(content.VERIFICATION)} OR {_ANY(content.VERIFICATION_HEAD, "substr(t, 1, 4000)")} AS verification, NOT regexp_matches(raw, '(?i)<html|<article|<body|<p\b') AS unsupported,
+  regexp_matches({_BARE("t")}, '^https?://t\.co/\S+$') OR (length({_BARE("t")}) < 80 AND contains({_BARE("t")}, 't.co/')) AS thin FROM n""")
+def page_checks(t):
+    text = F.col("text")
+    return t("fetched_content").select(
+        "content_id", content.paywalled(urls.host_of(F.col("url")), F.col("title"), text, ["ledgerpost"]).alias("paywalled"), content.real_body(text).alias("real_body"),
+        content.verification(text).alias("verification"), content.unsupported(F.lit(None).cast("string"), F.col("raw")).alias("unsupported"), content.thin(text).alias("thin"),
+    )
+
+
+_Q = """[「“"]([^」”"]{4,})[」”"]"""
+_STRIPPED = lambda x: rf"regexp_replace({x}, '[「」\"‘’\s]+', '', 'g')"
+
+
+@query(rf"""WITH f AS (SELECT url, max_by(text, content_id) AS src FROM fetched_content GROUP BY url),
+x AS (SELECT delivery_id, {_BARE("o.text")} AS t, coalesce(f.src, '') AS src FROM outbox_item o LEFT JOIN f ON f.url = o.url)
+SELECT delivery_id, CASE WHEN t = '' THEN 'empty' ELSE array_to_string(list_filter([CASE WHEN length(regexp_replace(regexp_replace(t, 'https?://\S+', '', 'g'), '[\n ]', '', 'g')) > 150 THEN 'too_long' END,
+  CASE WHEN NOT regexp_matches(t, 'https?://\S') THEN 'no_url' END, CASE WHEN {" OR ".join(f"contains(t, '{m}')" for m in content.SECTIONS)} THEN 'section' END,
+  CASE WHEN {" OR ".join(f"contains(lower(t), '{m.lower()}')" for m in content.FILLER)} THEN 'filler' END,
+  CASE WHEN src <> '' AND len(list_filter(regexp_extract_all(t, '{_Q}', 1), lambda q: NOT contains(src, q) AND NOT contains({_STRIPPED("src")}, {_STRIPPED("q")}))) > 0 THEN 'quote' END], lambda v: v IS NOT NULL), ',') END AS faults FROM x""")
+def brief_contract(t):
+    last = t("fetched_content").groupBy("url").agg(F.max_by("text", "content_id").alias("_src"))
+    faults = content.brief_faults(F.col("text"), F.col("_src"), 150)
+    return t("outbox_item").select("delivery_id", "text", "url").join(last, "url", "left").select("delivery_id", F.array_join(faults, ",").alias("faults"))
+
+
+@query(r"""SELECT content_id, regexp_extract(url, '/r/([^/]+)', 1) AS subreddit, regexp_extract(coalesce(text, ''), '(?i)([0-9]+(?:\.[0-9]+k)?)\s+points?', 1) AS points, regexp_extract(coalesce(text, ''), '(?i)([0-9]+)\s+comments?', 1) AS comments,
+  regexp_extract(coalesce(text, ''), '(?i)\bby\s+([A-Za-z0-9_-]+)', 1) AS author FROM fetched_content""")
+def post_facts(t):
+    return t("fetched_content").select("content_id", tx.post_facts(F.col("text"), F.col("url")).alias("f")).select("content_id", "f.*")
 
 
 @query("""SELECT score_id, CASE WHEN NOT json_valid(raw_text) OR raw_text IS NULL THEN 'invalid_json' WHEN coalesce(raw_text->>'rationale', '') = '' THEN 'missing:rationale' WHEN coalesce(raw_text->>'score', '') = '' THEN 'missing:score'
@@ -418,11 +488,19 @@ def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_event_windows(spark: SparkSession, sf: str) -> DataFrame:
     counted = flows.sliding_counts(_stream(spark, sf, "events"), "ts", "event_type")
-    return flows.run_to_table(counted, "complete", "windows")
+    return flows.run_to_table(counted, "update", "windows", ["window_start", "event_type"])
+
+
+def stream_failure_streaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Per source the failures in a row up to its last task, state being that number alone."""
+    tasks = _stream(spark, sf, "queue_task").select(F.coalesce("source", F.lit("none")).alias("source"), "id", F.coalesce(F.col("status").isin("failed_terminal", "rejected"), F.lit(False)).alias("failed"))
+    return flows.run_to_table(flows.open_streaks(tasks, "source", "id", "failed"), "update", "streaks", ["source"])
 
 
-QUERIES |= {f.__name__: f for f in (stream_status_counts, stream_dedupe, stream_event_windows)}
+QUERIES |= {f.__name__: f for f in (stream_failure_streaks, stream_status_counts, stream_dedupe, stream_event_windows)}
 ORACLE |= {
+    "stream_failure_streaks": """WITH m AS (SELECT coalesce(source, 'none') AS source, id, CAST(status IN ('failed_terminal', 'rejected') AS INT) AS f FROM queue_task)
+SELECT m.source, count(*) FILTER (WHERE id > coalesce(l.last, -1)) AS streak FROM m LEFT JOIN (SELECT source, max(id) FILTER (WHERE f = 0) AS last FROM m GROUP BY 1) l USING (source) GROUP BY 1""",
     "stream_status_counts": "SELECT status, count(*) AS n FROM queue_task GROUP BY 1",
     "stream_dedupe": "SELECT DISTINCT url FROM source_item WHERE url IS NOT NULL",
     "stream_event_windows": """SELECT time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '1970-01-01') - k * INTERVAL 12 HOUR AS window_start, event_type, count(*) AS n FROM events, (VALUES (0), (1)) v(k) GROUP BY ALL""",

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
-def _local(name: str) -> str:
-    return f"*[local-name()='{name}']"
+_SEPARATOR = "\u241f"
 
 
-def _first(item: Column, *paths: str) -> Column:
-    """The first path that gives text; paths are below the item's root element."""
-    return F.coalesce(*[F.nullif(F.trim(F.xpath_string(item, F.lit(f"/*/{p}"))), F.lit("")) for p in paths])
+def _fields(item: Column, paths: list[str]) -> Column:
+    """The text at each path below the item's root element, '' where there is none. All are asked for in one expression,
+    as every call of the XPath functions parses the item again."""
+    asked = f", '{_SEPARATOR}', ".join(f"string(/*/{p})" for p in paths)
+    return F.split(F.xpath_string(F.replace(item, F.lit(_SEPARATOR), F.lit(" ")), F.lit(f"concat({asked})")), _SEPARATOR)
 
 
 def _items(content: Column, tag: str) -> Column:
@@ -28,22 +29,23 @@ def feed_items(feeds: DataFrame, content: str = "content") -> DataFrame:
     """All columns of `feeds` but the content, with position, title, url, published, author: an RSS feed's items or, where
     it has none, an Atom feed's entries. Items without link are dropped; text that is no feed gives none.
 
-    A feed is cut into items by tag first, so that one malformed item does not lose the others; namespace prefixes are
+    A feed is cut into items by tag first, so that one malformed item does not lose the others; namespaces are
     stripped from tags, as items cut out do not declare them.
     """
     rss, atom = _items(F.col(content), "item"), _items(F.col(content), "entry")
-    bare = lambda x: F.regexp_replace(F.regexp_replace(x, r"<(/?)[A-Za-z0-9]+:", "<$1"), r"\s[A-Za-z0-9]+:([A-Za-z]+=)", " $1")
+    bare = lambda x: F.regexp_replace(F.regexp_replace(x, r"<(/?)[A-Za-z0-9]+:", "<$1"), r"\sxmlns(?::[A-Za-z0-9]+)?=(?:\"[^\"]*\"|'[^']*')|(\s)[A-Za-z0-9]+:([A-Za-z]+=)", "$1$2")
     chosen = F.when(F.size(rss) > 0, rss).otherwise(atom)
     one = feeds.select("*", F.posexplode(F.transform(chosen, bare)).alias("position", "_x"))
-    x = F.col("_x")
-    out = one.select(
-        *[c for c in feeds.columns if c != content],
-        "position",
-        _first(x, _local("title")).alias("title"),
-        F.coalesce(_first(x, _local("link") + "[not(@href)]"), _first(x, _local("link") + "[@rel='alternate' or not(@rel)]/@href"), _first(x, _local("link") + "/@href")).alias("url"),
-        _first(x, _local("pubDate"), _local("date"), _local("published"), _local("updated")).alias("published"),
-        _first(x, _local("author") + "/" + _local("name"), _local("author"), _local("creator")).alias("author"),
-    )
+    at = {
+        "title": ["title"],
+        "url": ["link[not(@href)]", "link[@rel='alternate' or not(@rel)]/@href", "link/@href"],
+        "published": ["pubDate", "date", "published", "updated"],
+        "author": ["author/name", "author", "creator"],
+    }
+    paths = [p for asked in at.values() for p in asked]
+    one = one.withColumn("_f", _fields(F.col("_x"), paths))
+    first = lambda asked: F.coalesce(*[F.nullif(F.trim(F.try_element_at("_f", F.lit(paths.index(p) + 1))), F.lit("")) for p in asked])
+    out = one.select(*[c for c in feeds.columns if c != content], "position", *[first(asked).alias(name) for name, asked in at.items()])
     return out.where("url IS NOT NULL")
 
 

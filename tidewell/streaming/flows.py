@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import scratch_path
 
@@ -26,8 +26,9 @@ def stream_of(spark: SparkSession, path: str, schema: StructType, files_per_trig
     return reader.parquet(path)
 
 
-def run_to_table(stream: DataFrame, mode: str, what: str) -> DataFrame:
-    """Run a stream over what is there and read its table. `complete` results are replaced, `append` ones added."""
+def run_to_table(stream: DataFrame, mode: str, what: str, keys: list[str] | None = None) -> DataFrame:
+    """Run a stream over what is there and read its table. `complete` results are replaced, `append` ones added; of
+    `update` ones the last row of each value of `keys` counts, so that state behind the watermark may be let go."""
     spark = stream.sparkSession
     out, check = scratch_path(spark, what), scratch_path(spark, what + "-checkpoint")
     if mode == "complete":
@@ -36,9 +37,19 @@ def run_to_table(stream: DataFrame, mode: str, what: str) -> DataFrame:
             df.write.mode("overwrite").parquet(out)
 
         query = stream.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", check).trigger(availableNow=True).start()
+    elif mode == "update":
+
+        def add(df: DataFrame, batch: int) -> None:
+            df.write.mode("overwrite").parquet(f"{out}/_b={batch}")  # a batch run again replaces its rows
+
+        query = stream.writeStream.outputMode("update").foreachBatch(add).option("checkpointLocation", check).trigger(availableNow=True).start()
     else:
         query = stream.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", check).trigger(availableNow=True).start()
     query.awaitTermination()
+    if mode == "update":
+        told = spark.read.schema(StructType([*stream.schema.fields, StructField("_b", LongType())])).parquet(out)
+        rest = [c for c in stream.columns if c not in keys]
+        return told.groupBy(*keys).agg(*[F.max_by(c, "_b").alias(c) for c in rest]).select(*stream.columns)
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -53,9 +64,13 @@ def sliding_counts(stream: DataFrame, ts: str, column: str, length: str = "24 ho
     return w.select(F.col("window.start").alias("window_start"), column, "n")
 
 
-def first_sightings(stream: DataFrame, key: str) -> DataFrame:
-    """The keys, each once, as they first arrive."""
-    return stream.select(key).where(F.col(key).isNotNull()).dropDuplicates([key])
+def first_sightings(stream: DataFrame, key: str, ts: str | None = None, late: str = "7 days") -> DataFrame:
+    """The keys, each once, as they first arrive. With a time column a key is forgotten once it is `late` behind, and
+    may come again; without one all are remembered, which is what a list of everything seen asks for."""
+    if ts is None:
+        return stream.select(key).where(F.col(key).isNotNull()).dropDuplicates([key])
+    timed = stream.select(key, F.col(ts).cast("timestamp").alias(ts)).where(F.col(key).isNotNull())
+    return timed.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
 
 
 def open_streaks(stream: DataFrame, key: str, order: str, failed: str) -> DataFrame:
