@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import bucket_store, instants
 from ..session import configure, table
+from . import time_sql
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -29,6 +30,7 @@ QUERIES = {"p3_found": p3_found, "p3_messages": p3_messages, "p5_found": p5_foun
 
 _IDENT = r"nullif(lower(regexp_replace(event_id, '^\s+|\s+$', '', 'g')), '')"
 ORACLE = {
+    "p5_found": time_sql.FOUND,
     "p3_found": f"SELECT delivery_id FROM (SELECT delivery_id, {_IDENT} k, row_number() OVER (PARTITION BY {_IDENT} ORDER BY delivery_id) n FROM outbox_item) WHERE k IS NOT NULL AND n > 1",
     "p3_messages": f"""SELECT delivery_id, batch_no, event_id, state, sent_at, CAST(len(delivery_attempts) AS BIGINT) AS n_attempts
 FROM (SELECT *, {_IDENT} k, row_number() OVER (PARTITION BY {_IDENT} ORDER BY delivery_id) n FROM outbox_item) WHERE k IS NULL OR n = 1""",
