@@ -63,11 +63,6 @@ def url_well_formed(t):
     return t("queue_task").select("id", urls.well_formed(F.col("url")).alias("ok"))
 
 
-@query()
-def urls_in_text(t):
-    return t("outbox_item").select("delivery_id", F.explode(urls.urls_in(F.concat_ws(" ", "text", "url"))).alias("found"))
-
-
 # Joins ---------------------------------------------------------------------------------------------------------------
 @query("SELECT item_id, url FROM source_item s WHERE NOT EXISTS (SELECT 1 FROM queue_task q WHERE q.url = s.url AND q.batch_no = 0) AND url IS NOT NULL")
 def anti_join_queue(t):
@@ -215,13 +210,6 @@ def admission_control(t):
     return rows.admit(items, "u", ["priority", "item_id"], queue.where("batch_no = 0").select(norm), queue, "url", 500).select("item_id", "outcome")
 
 
-@query(f"SELECT i.item_id FROM source_item i JOIN source_config c ON c.id = i.source_id WHERE i.discovered_ts IS NULL OR i.discovered_ts >= TIMESTAMP '{AS_OF}' - to_days(c.lookback_days)")
-def item_lookback_filter(t):
-    config = t("source_config").select(F.col("id").alias("source_id"), "lookback_days")
-    cutoff = F.expr(f"timestamp '{AS_OF}' - make_dt_interval(lookback_days)")
-    return t("source_item").join(rows.small(config), "source_id").where(F.col("discovered_ts").isNull() | (F.col("discovered_ts") >= cutoff)).select("item_id")
-
-
 @query("SELECT content_id, score_id, CASE WHEN NOT isnan(final_score) THEN final_score ELSE -1 END AS final_score, final_score IS NULL OR isnan(final_score) AS unset FROM (SELECT *, row_number() OVER (PARTITION BY content_id ORDER BY scored_ts DESC, score_id DESC) AS k FROM score_result) WHERE k = 1")
 def latest_by_id(t):
     """A score that is null or no number comes as -1 and unset."""
