@@ -1,6 +1,8 @@
 
+from pyspark.sql import functions as F
+
 from tidewell.plans import core_queries
-from tidewell.sources import feeds, pages
+from tidewell.sources import feeds, files, pages
 from tidewell.streaming import flows
 
 RSS = '<rss xmlns:dc="urn:dc"><channel><title>f</title><item><title>One &amp; two</title><link>https://a.example/1</link><pubDate>Fri, 14 Feb 2025 01:54:14 GMT</pubDate><dc:creator>Ann</dc:creator></item><item><title>no link</title></item></channel></rss>'
@@ -52,3 +54,51 @@ def test_fragments_are_extracted(spark, tmp_path):
     spark.createDataFrame(rows, "content_id long, raw string").write.parquet(str(tmp_path / "fetched_content.parquet"))
     got = {r.content_id: r.body for r in core_queries.QUERIES["html_extract"](spark, str(tmp_path)).collect()}
     assert got == {1: "One two", 2: "Head\nThree four", 3: "Five six\nSeven\nTerms", 4: "plain\nlines", 5: ""}
+
+
+def test_notes_and_states(spark, tmp_path):
+    d = tmp_path / "2025-01-W1" / "a"
+    d.mkdir(parents=True)
+    (tmp_path / "daily").mkdir()
+    (d / "one.md").write_text("---\ntitle: x\n---\n# First | note\n\nbody | text")
+    (d / "two.md").write_text('title: "Second"\nbody')
+    (d / "three.md").write_text("\n")
+    (tmp_path / "daily" / "r.md").write_text("# no")
+    got = {r.title: r.snippet for r in files.notes(spark, str(tmp_path), skip=("daily",)).collect()}
+    assert set(got) == {"First | note", "Second", "three"} and got["First | note"] == "body / text"
+    assert files.notes(spark, str(tmp_path), since="2999-01-01T00:00:00").count() == 0
+    assert {r.name for r in files.some_files(spark, str(d), ["one.md", "none.md"]).collect()} == {"one.md"}
+    for state, name, text in [("pending", "a", '{"event_id": "a", "n": 1}'), ("sent", "b", '{"event_id": "b"}'), ("sent", "c", "{broken"), ("sent", "d", "[1]")]:
+        (tmp_path / "box" / state).mkdir(parents=True, exist_ok=True)
+        (tmp_path / "box" / state / f"{name}.json").write_text(text)
+    assert {(r.state, r.event_id, r.n) for r in files.json_states(spark, str(tmp_path / "box"), "event_id string, n int").collect()} == {("pending", "a", 1), ("sent", "b", None)}
+    (tmp_path / "roles").mkdir()
+    (tmp_path / "roles" / "worker.json").write_text('{"status": "up", "pid": 7, "updated_at": "2025-01-01T00:00:00Z"}')
+    (tmp_path / "roles" / "bot.json").write_text("junk")
+    beats = {r.role: (r.status, r.pid, r.stale) for r in files.heartbeats(spark, str(tmp_path / "roles"), "2025-01-01 00:05:00").collect()}
+    assert beats == {"worker": ("up", 7, False), "bot": (None, None, True)}
+
+
+def test_flat_yaml(spark):
+    text = "# list\nitems:\n  - id: a  # first\n    name: \"A b\"\n\n  - id: b\n- https://c.example/x\n"
+    df = spark.createDataFrame([("f", text), ("g", None), ("h", "")], "file string, text string")
+    got = [(r.position, r.item) for r in files.flat_yaml(df).orderBy("position").collect()]
+    assert got == [(0, {"id": "a", "name": "A b"}), (1, {"id": "b"}), (2, {"value": "https://c.example/x"})]
+    assert [r.missing for r in files.required(files.flat_yaml(df).where("position < 2"), ["id", "name"]).orderBy("position").collect()] == [[], ["name"]]
+
+
+def test_feed_candidates(spark):
+    page = '<head><link rel="alternate" type="application/rss+xml" href="/my.xml"><link rel="stylesheet" href="/x.css"></head>'
+    got = spark.range(1).select(files.feed_candidates(F.lit(page), F.lit("https://a.example/p")).alias("c")).first().c
+    assert got[0] == "https://a.example/my.xml" and "https://a.example/feed" in got and len(got) == len(files.FEED_PATHS) + 1
+
+
+def test_stream_windows_and_forgetting_keys(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.sql("SELECT timestamp '2025-01-01' + make_interval(0, 0, 0, 0, CAST(id AS INT)) AS ts, concat('k', id % 2) AS k FROM range(48)").repartition(5).write.parquet(path)
+    schema = spark.read.parquet(path).schema
+    counted = flows.sliding_counts(flows.stream_of(spark, path, schema, 1), "ts", "k")
+    got = flows.run_to_table(counted, "update", "w", ["window_start", "k"])
+    assert got.agg(F.sum("n")).first()[0] == 96 and got.groupBy("window_start", "k").count().where("count > 1").count() == 0
+    once = flows.run_to_table(flows.first_sightings(flows.stream_of(spark, path, schema), "k", "ts", "30 days"), "append", "s")
+    assert {r.k for r in once.collect()} == {"k0", "k1"}
