@@ -129,7 +129,7 @@ def retry_after(header: Column, otherwise: int = 5) -> Column:
     seconds = F.regexp_extract(header, r"(?i)retry[- ]after[: ]+([0-9]+)\s*(?:s|sec|seconds?)?\b", 1).try_cast("double")
     minutes = F.regexp_extract(header, r"(?i)retry[- ]after[: ]+([0-9]+)\s*(?:m|min|minutes?)\b", 1).try_cast("double")
     said = F.coalesce(minutes, F.ceil(seconds / 60).cast("double"))
-    return F.coalesce(F.greatest(F.lit(1), said.cast("int")), F.lit(otherwise))
+    return F.when(said.isNull(), F.lit(otherwise)).otherwise(F.greatest(F.lit(1), said.cast("int")))
 
 
 def http_failure(status: Column) -> Column:

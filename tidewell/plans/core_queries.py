@@ -92,10 +92,10 @@ def adapter_lookup(t):
     return out.select("id", "type", F.coalesce("adapter", F.lit("none")).alias("adapter"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n_items"))
 
 
-@query("SELECT b.bundle, s.prompt_bundle AS stored, count(*) AS n FROM score_result s, (VALUES ('v1'), ('v2_stable_cn'), ('v4')) b(bundle) WHERE b.bundle <> s.prompt_bundle GROUP BY ALL")
+@query("SELECT b.bundle, s.prompt_bundle AS stored, count(*) AS n FROM score_result s, (VALUES ('v2_stable_cn'), ('v3_business_stories'), ('v4')) b(bundle) WHERE b.bundle <> s.prompt_bundle GROUP BY ALL")
 def bundle_cross_eval(t):
     scores = t("score_result").select(F.col("prompt_bundle").alias("stored"))
-    bundles = scores.sparkSession.createDataFrame([("v1",), ("v2_stable_cn",), ("v4",)], "bundle string")
+    bundles = scores.sparkSession.createDataFrame([("v2_stable_cn",), ("v3_business_stories",), ("v4",)], "bundle string")
     # counted per stored bundle first: only the groups meet the few bundles
     return scores.groupBy("stored").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(bundles), F.col("bundle") != F.col("stored")).select("bundle", "stored", "n")
 
@@ -143,10 +143,11 @@ def recent_counts(t):
     return recent.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("url").alias("n_urls"))
 
 
-@query("SELECT source, count(*) AS n, count(*) FILTER (WHERE status IN ('failed_terminal', 'rejected')) AS failed, round(count(*) FILTER (WHERE status IN ('failed_terminal', 'rejected')) / count(*), 6) AS rate FROM queue_task GROUP BY 1")
+@query("""SELECT source, count(*) AS n, count(*) FILTER (WHERE status IN ('failed_terminal', 'rejected')) AS failed, round(count(*) FILTER (WHERE status IN ('failed_terminal', 'rejected')) / count(*), 3) AS rate,
+  count(*) FILTER (WHERE status IN ('failed_terminal', 'rejected')) > 10 OR count(*) FILTER (WHERE status IN ('failed_terminal', 'rejected')) / count(*) > 0.5 AS high FROM queue_task GROUP BY 1""")
 def failure_rates(t):
     failed = F.count_if(F.col("status").isin("failed_terminal", "rejected"))
-    return t("queue_task").groupBy("source").agg(F.count(F.lit(1)).alias("n"), failed.alias("failed"), F.round(failed / F.count(F.lit(1)), 6).alias("rate"))
+    return t("queue_task").groupBy("source").agg(F.count(F.lit(1)).alias("n"), failed.alias("failed"), F.round(failed / F.count(F.lit(1)), 3).alias("rate"), ((failed > 10) | (failed / F.count(F.lit(1)) > 0.5)).alias("high"))
 
 
 @query("""SELECT source_type, CASE max(CASE WHEN final_score IS NULL OR isnan(final_score) THEN 2 WHEN final_score < 0 OR final_score > 1 THEN 3 WHEN final_score < 0.3 THEN 1 ELSE 0 END)

@@ -49,11 +49,11 @@ def outbox_expiry(t):
     return t("outbox_item").groupBy("lane").agg(F.count(F.lit(1)).alias("n"), gone.alias("expired"), F.max(((F.unix_seconds(until) - F.unix_seconds(since)) / 3600).cast("bigint")).alias("longest_hours"))
 
 
-@query("SELECT q.id, q.output_path, coalesce(len(string_split(f.text, chr(10))), 0) AS n_lines, coalesce(len(string_split(f.text, chr(10))), 0) >= 10 AS complete FROM queue_task q LEFT JOIN (SELECT url, max_by(text, content_id) AS text FROM fetched_content GROUP BY url) f ON f.url = q.url WHERE q.status = 'done'")
+@query("SELECT q.id, q.output_path, coalesce(len(string_split(f.text, chr(10))), 0) AS n_lines, coalesce(len(string_split(f.text, chr(10))), 0) >= 40 AS complete FROM queue_task q LEFT JOIN (SELECT url, max_by(text, content_id) AS text FROM fetched_content GROUP BY url) f ON f.url = q.url WHERE q.status = 'done'")
 def file_completeness(t):
     last = t("fetched_content").groupBy("url").agg(F.max_by("text", "content_id").alias("text"))
     n = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("bigint")
-    return t("queue_task").where("status = 'done'").join(last, "url", "left").select("id", "output_path", n.alias("n_lines"), (n >= 10).alias("complete"))
+    return t("queue_task").where("status = 'done'").join(last, "url", "left").select("id", "output_path", n.alias("n_lines"), (n >= 40).alias("complete"))
 
 
 @query("""SELECT batch_no, n, failed, CAST(sum(n) OVER (ORDER BY batch_no) AS BIGINT) AS n_so_far, CAST(sum(failed) OVER (ORDER BY batch_no) AS BIGINT) AS failed_so_far

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import urls
 from ..functions.times import utc_text
-from ..operators import instants, records, rows
+from ..operators import instants, records, rows, sinks
 from ..session import configure, table
 from ..sources import feeds
 from . import time_sql
@@ -75,14 +75,17 @@ def result_projection(t):
     return out.select("id", records.text_of(F.col("result_title")).alias("title"), records.text_of(F.col("h")).alias("content_hash"), (F.col("final_score").isNotNull() & ~F.isnan("final_score")).alias("scored"))
 
 
-@query("""WITH r AS (SELECT DISTINCT ON (content_id, prompt_bundle) content_id, prompt_bundle, coalesce(signal_tier, '') AS tier FROM score_result ORDER BY content_id, prompt_bundle, scored_ts DESC, score_id DESC),
-i AS (SELECT DISTINCT content_id FROM r WHERE prompt_bundle IN ('v1', 'v2_stable_cn', 'v4'))
-SELECT i.content_id, coalesce(a.tier, 'missing') AS v1, coalesce(b.tier, 'missing') AS v2_stable_cn, coalesce(c.tier, 'missing') AS v4, coalesce(a.tier, 'missing') = coalesce(b.tier, 'missing') AND coalesce(a.tier, 'missing') = coalesce(c.tier, 'missing') AS agree
-FROM i LEFT JOIN r a ON a.content_id = i.content_id AND a.prompt_bundle = 'v1' LEFT JOIN r b ON b.content_id = i.content_id AND b.prompt_bundle = 'v2_stable_cn' LEFT JOIN r c ON c.content_id = i.content_id AND c.prompt_bundle = 'v4'""")
+_LAST = "SELECT DISTINCT ON (content_id) content_id, coalesce(signal_tier, '') AS tier FROM score_result {} ORDER BY content_id, scored_ts DESC, score_id DESC"
+
+
+@query(f"""WITH a AS ({_LAST.format("WHERE prompt_bundle = 'v2_stable_cn'")}), b AS ({_LAST.format("WHERE prompt_bundle = 'v3_business_stories'")}), c AS ({_LAST.format("")})
+SELECT c.content_id, coalesce(a.tier, 'missing') AS v2, coalesce(b.tier, 'missing') AS v3, c.tier AS last, coalesce(a.tier, 'missing') = coalesce(b.tier, 'missing') AND coalesce(a.tier, 'missing') = c.tier AS agree
+FROM c LEFT JOIN a USING (content_id) LEFT JOIN b USING (content_id)""")
 def three_runs_compared(t):
     s = t("score_result").select("content_id", "prompt_bundle", "signal_tier", "scored_ts", "score_id")
-    run = lambda name: rows.last_per(s.where(F.col("prompt_bundle") == name), F.col("content_id"), ["scored_ts", "score_id"])
-    return records.compared({n: run(n) for n in ("v1", "v2_stable_cn", "v4")}, "content_id", "signal_tier")
+    run = lambda df: rows.last_per(df, F.col("content_id"), ["scored_ts", "score_id"])
+    of = lambda name: s.where(F.col("prompt_bundle") == name)
+    return records.compared({"v2": run(of("v2_stable_cn")), "v3": run(of("v3_business_stories")), "last": run(s)}, "content_id", "signal_tier")
 
 
 @query(r"""SELECT source_type, '| score_id | signal_tier |' || chr(10) || '|---|---|' || chr(10) || string_agg('| ' || score_id || ' | ' || replace(regexp_replace(coalesce(signal_tier, ''), '\s+', ' ', 'g'), '|', '/') || ' |', chr(10) ORDER BY score_id) AS lines, count(*) AS n
@@ -147,8 +150,6 @@ _CELL = lambda c: f"""'"' || replace(replace(coalesce({c}, ''), '\\', '\\\\'), '
 @query(f"""SELECT doc_id, '---' || chr(10) || 'source: ' || {_CELL("source")} || chr(10) || 'lang: ' || {_CELL("lang")} || chr(10) || '---' AS front, substr(sha256(coalesce(text, '')), 1, 8) AS h FROM documents""")
 def markdown_front(t):
     """The front matter of each document's Markdown, and the hash in its file's name."""
-    from ..operators import sinks
-
     made = sinks.markdown(t("documents").withColumn("id_", F.col("doc_id")), ["doc_id", "source", "lang"], F.col("title"), F.col("text"))
     front = F.regexp_replace(F.regexp_extract("document", r"(?s)^(---\n.*?\n---)", 1), r"\ndoc_id: [^\n]*", "")
     return made.select(tx.front_matter(F.col("document"), "doc_id").cast("bigint").alias("doc_id"), front.alias("front"), F.regexp_extract("file_name", r"-([0-9a-f]{8})\.md$", 1).alias("h"))

@@ -13,7 +13,7 @@ from ..session import configure, table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 NOW, BEFORE = "2025-08-15T00:00:00+00:00", "2025-08-10T00:00:00+00:00"
-HOURS = {"business_signal": 24, "requested": 24, "strategic": 192}
+HOURS = {"business": 24, "requested": 24, "strategic": 192}
 
 
 def query(sql: str):
