@@ -455,11 +455,6 @@ def receipt_redaction(t):
     return one.select("delivery_id", "a.attempt", F.col("a.receipt")["message_id"].alias("message_id"), F.col("a.receipt")["error_code"].alias("error_code"))
 
 
-@query()
-def markdown_documents(t):
-    return sinks.markdown(t("documents"), ["source", "lang", "title"], F.col("title"), F.col("text"))
-
-
 # Streams -------------------------------------------------------------------------------------------------------------
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     configure(spark)

@@ -155,6 +155,15 @@ def markdown_front(t):
     return made.select(tx.front_matter(F.col("document"), "doc_id").cast("bigint").alias("doc_id"), front.alias("front"), F.regexp_extract("file_name", r"-([0-9a-f]{8})\.md$", 1).alias("h"))
 
 
+_SLUG = """coalesce(nullif(regexp_replace(substr(regexp_replace(regexp_replace(lower(title), '[^a-z0-9一-鿿]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 80), '-+$', ''), ''), 'untitled')"""
+
+
+@query(f"""SELECT {_SLUG} || '-' || substr(sha256(coalesce(text, '')), 1, 8) || '.md' AS file_name, '---' || chr(10) || 'source: ' || {_CELL("source")} || chr(10) || 'lang: ' || {_CELL("lang")} || chr(10) || 'title: ' || {_CELL("title")} || chr(10) || '---'
+  || chr(10) || chr(10) || '# ' || coalesce(title, '') || chr(10) || chr(10) || coalesce(text, '') AS document FROM documents""")
+def markdown_documents(t):
+    return sinks.markdown(t("documents"), ["source", "lang", "title"], F.col("title"), F.col("text"))
+
+
 @query(time_sql.READ + f"""SELECT i.item_id FROM source_item i JOIN source_config s ON s.id = i.source_id LEFT JOIN r ON r.field = 'source_item.published_at' AND r.rec_id = i.item_id WHERE r.utc IS NULL OR r.utc >= TIMESTAMP '{AS_OF}' - to_days(s.lookback_days)""")
 def item_lookback_filter(t):
     """Items whose date cannot be read, or is not older than their source looks back."""
