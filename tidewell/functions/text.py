@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -15,6 +16,11 @@ SPACES = r" \t\n\r\f\x0B\x1C-\x1F\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u20
 BLANK = f"[{SPACES}]+"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with `value` computed once, where the branches of a condition would each compute it again."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(text: Column) -> Column:
     """A text without white space at its ends."""
     return F.regexp_replace(text, f"^{BLANK}|{BLANK}$", "")

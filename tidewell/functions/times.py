@@ -16,13 +16,14 @@ Policies
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 from zoneinfo import available_timezones
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 # Month names by language, as feeds write them.
 MONTH_NAMES = {
     1: ("jan", "january", "januar", "jän", "janvier", "janv", "enero", "ene"),
@@ -83,11 +84,6 @@ def _num(part: Column) -> Column:
     return part.try_cast("int")
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with `value` computed once: a plan that only repeats expressions would grow with every level."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _canon(v: Column) -> Column:
     return reduce(lambda rest, p: F.when(v.rlike(p[1]), F.regexp_replace(v, p[1], p[2])).otherwise(rest), reversed(CASCADE), F.lit(None).cast("string"))
 
@@ -123,7 +119,7 @@ def _resolve(f: Column, zone: Column) -> Column:
     return (
         F.when(f["offset"] != "", F.when((hours <= 18) & (minutes < 60), F.timestamp_seconds(F.unix_seconds(f["wall"]) - ahead * 60)))
         .when(f["zone"].isin("Z", "UTC", "GMT", "UT"), f["wall"])
-        .otherwise(_let(F.to_utc_timestamp(f["wall"], zone), lambda first: _of_two(first, f, zone)))
+        .otherwise(let(F.to_utc_timestamp(f["wall"], zone), lambda first: _of_two(first, f, zone)))
     )
 
 
@@ -144,14 +140,14 @@ def to_utc(value: Column, zone: Column, day_first: Column) -> Column:
     """
 
     def body(v: Column) -> Column:
-        written = _let(F.split(_canon(v), r"\|"), lambda parts: _let(_fields(parts, day_first), lambda f: _resolve(f, zone)))
+        written = let(F.split(_canon(v), r"\|"), lambda parts: let(_fields(parts, day_first), lambda f: _resolve(f, zone)))
         return (
             F.when(v.rlike(r"^\d{10}$"), F.timestamp_seconds(v.try_cast("bigint")))
             .when(v.rlike(r"^\d{13}$"), F.timestamp_seconds(F.floor(v.try_cast("bigint") / 1000)))
             .otherwise(written)
         )
 
-    return _let(F.regexp_replace(F.regexp_replace(value, r"(?U)^\s+|\s+$", ""), r"(?U)\s+", " "), body)
+    return let(F.regexp_replace(F.regexp_replace(value, r"(?U)^\s+|\s+$", ""), r"(?U)\s+", " "), body)
 
 
 def utc_text(ts: Column) -> Column:

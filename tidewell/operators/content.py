@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import BLANK, sentences, strip, word_count
+from ..functions.text import BLANK, let, sentences, strip, word_count
 from ..functions.urls import host_of
 
 # Marks of pages that hold no content, of paywalls, and of pages that ask readers to verify themselves.
@@ -27,9 +27,9 @@ SECTIONS = ["🏷", "🧭", "🛠", "分类：", "分类:", "信源说明", "下
 FILLER = ["这篇文章主要讨论", "随着AI的发展", "随着AI的", "值得注意的是", "需要指出的是", "总的来说", "综上所述"]
 
 
-def _any(text: Column, marks: list[str], raw: Column | None = None) -> Column:
+def _any(low: Column, marks: list[str], raw: Column | None = None) -> Column:
     """Whether a text, lower-cased, holds one of the marks; or as it stands, where `raw` is given."""
-    low, found = F.lower(text), F.lit(False)
+    found = F.lit(False)
     for m in marks:
         found = found | F.contains(low, F.lit(m))
         if raw is not None:
@@ -42,33 +42,36 @@ def verdict(text: Column, title: Column, source_type: Column, blocked=BLOCKED, s
 
     Errors are values: an ordered ladder of empty, blocked, too little, shell, login wall and paywall.
     """
-    t, head = strip(F.coalesce(text, F.lit(""))), strip(F.coalesce(title, F.lit("")))
-    n = word_count(t)
-    rest = word_count(F.replace(t, head))
-    page = source_type.isin(PAGE_TYPES)
+    trimmed = F.struct(strip(F.coalesce(text, F.lit(""))).alias("t"), strip(F.coalesce(title, F.lit(""))).alias("head"))
     out = lambda kind, action: F.struct(F.lit(kind).alias("kind"), F.lit(action).alias("action"))
-    little = (n < 80) | ((head != "") & (rest < 30)) | _any(t, shell) | _any(t, login) | (_any(t, paywall) & (n < 450))
-    return (
-        F.when(t == "", out("validation_failed", "drop"))
-        .when(_any(t, blocked, t) | ((source_type == "wechat_article") & (F.length(t) < 200)), out("content_blocked", "manual_review"))
-        .when(page & little, out("content_blocked", "drop"))
-        .otherwise(F.struct(F.lit(None).cast("string").alias("kind"), F.lit(None).cast("string").alias("action")))
-    )
+    page = source_type.isin(PAGE_TYPES)
+
+    def judged(x: Column) -> Column:
+        little = (x["n"] < 80) | ((x["head"] != "") & (word_count(F.replace(x["t"], x["head"])) < 30)) | _any(x["low"], shell) | _any(x["low"], login) | (_any(x["low"], paywall) & (x["n"] < 450))
+        return (
+            F.when(x["t"] == "", out("validation_failed", "drop"))
+            .when(_any(x["low"], blocked, x["t"]) | ((source_type == "wechat_article") & (F.length(x["t"]) < 200)), out("content_blocked", "manual_review"))
+            .when(page & little, out("content_blocked", "drop"))
+            .otherwise(F.struct(F.lit(None).cast("string").alias("kind"), F.lit(None).cast("string").alias("action")))
+        )
+
+    return let(trimmed, lambda x: let(F.struct(x["t"].alias("t"), x["head"].alias("head"), F.lower(x["t"]).alias("low"), word_count(x["t"]).alias("n")), judged))
 
 
 def paywalled(host: Column, title: Column, text: Column, strict: list[str], marks: list[str] = PAYWALL) -> Column:
     """Whether a page stands behind a paywall: on `strict` hosts a mark or fewer than 350 words, elsewhere a mark and
     fewer than 450 words."""
-    n, marked = word_count(text), _any(F.concat_ws("\n", F.coalesce(title, F.lit("")), F.coalesce(text, F.lit(""))), marks)
+    low = F.lower(F.concat_ws("\n", F.coalesce(title, F.lit("")), F.coalesce(text, F.lit(""))))
     on = F.lit(False)
     for h in strict:
         on = on | F.contains(F.lower(host), F.lit(h))
-    return F.when(F.coalesce(on, F.lit(False)), marked | (n < 350)).otherwise(marked & (n < 450))
+    judged = lambda x: F.when(F.coalesce(on, F.lit(False)), x["m"] | (x["n"] < 350)).otherwise(x["m"] & (x["n"] < 450))
+    return let(F.struct(let(low, lambda x: _any(x, marks)).alias("m"), word_count(text).alias("n")), judged)
 
 
 def real_body(text: Column, marks: list[str] = PAYWALL) -> Column:
     """Whether a text is a body of its own: no mark of a paywall and 350 words or more."""
-    return ~_any(F.coalesce(text, F.lit("")), marks) & (word_count(text) >= 350)
+    return ~let(F.lower(F.coalesce(text, F.lit(""))), lambda x: _any(x, marks)) & (word_count(text) >= 350)
 
 
 def unsupported(content_type: Column, raw: Column) -> Column:
@@ -80,7 +83,7 @@ def unsupported(content_type: Column, raw: Column) -> Column:
 def verification(text: Column) -> Column:
     """Whether a page asks its reader to verify themselves; some marks count near its beginning only."""
     t = F.coalesce(text, F.lit(""))
-    return _any(t, VERIFICATION, t) | _any(F.substring(t, 1, 4000), VERIFICATION_HEAD)
+    return _any(F.lower(t), VERIFICATION, t) | let(F.lower(F.substring(t, 1, 4000)), lambda x: _any(x, VERIFICATION_HEAD))
 
 
 def thin(text: Column, short_link: str = "t.co/") -> Column:
@@ -119,7 +122,7 @@ def compressed(rows: DataFrame, row_id: str, long: int = 10_000, cut: int = 8_00
     short = F.length("_t") <= long
     clean = F.regexp_replace("_t", "(?i)" + "|".join(NOISE), "")
     lines = F.transform(F.split(clean, "\n"), strip)
-    good = F.array_distinct(F.filter(lines, lambda p: (F.length(p) >= 20) & ~_any(p, SKIPPED)))
+    good = F.array_distinct(F.filter(lines, lambda p: (F.length(p) >= 20) & ~_any(F.lower(p), SKIPPED)))
     # the paragraphs are a column of their own, so that they are split once and not for every paragraph
     held = base.select(row_id, "_t", F.when(short, F.array().cast("array<string>")).otherwise(good).alias("_p")).withColumn("_n", F.size("_p"))
     score = lambda p, i: sum((F.contains(F.lower(p), F.lit(x)).cast("int") * 2 for x in terms), ((i < 3) | (i >= F.col("_n") - 3)).cast("int") * 3 + F.length(p).between(50, 300).cast("int"))
@@ -155,7 +158,7 @@ def brief_faults(brief: Column, source: Column, most: int = 300) -> Column:
     sections = F.lit(False)
     for m in SECTIONS:
         sections = sections | F.contains(t, F.lit(m))
-    faults = [F.when(F.length(body) > most, "too_long"), F.when(~t.rlike(r"https?://\S"), "no_url"), F.when(sections, "section"), F.when(_any(t, [f.lower() for f in FILLER]), "filler"), F.when((src != "") & lost, "quote")]
+    faults = [F.when(F.length(body) > most, "too_long"), F.when(~t.rlike(r"https?://\S"), "no_url"), F.when(sections, "section"), F.when(_any(F.lower(t), [f.lower() for f in FILLER]), "filler"), F.when((src != "") & lost, "quote")]
     return F.when(t == "", F.array(F.lit("empty"))).otherwise(F.array_compact(F.array(*faults)))
 
 

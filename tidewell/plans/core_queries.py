@@ -369,7 +369,8 @@ k AS (SELECT content_id, CASE WHEN t = '' THEN 1 WHEN {_ANY(content.BLOCKED)} OR
 SELECT content_id, CASE k WHEN 1 THEN 'validation_failed' WHEN 2 THEN 'content_blocked' WHEN 3 THEN 'content_blocked' END AS kind, CASE k WHEN 1 THEN 'drop' WHEN 2 THEN 'manual_review' WHEN 3 THEN 'drop' END AS action FROM k""")
 def validate_ladder(t):
     v = content.verdict(F.col("text"), F.col("title"), F.col("source_type"))
-    return t("fetched_content").select("content_id", v["kind"].alias("kind"), v["action"].alias("action"))
+    judged = F.transform(F.array(v), lambda x: F.struct(x["kind"].alias("kind"), x["action"].alias("action")))  # once for both fields
+    return t("fetched_content").select("content_id", F.inline(judged))
 
 
 @query(rf"""WITH x AS (SELECT content_id, {_HOST('url')} AS host, coalesce(title, '') || chr(10) || coalesce(text, '') AS b, coalesce(text, '') AS t, coalesce(raw, '') AS raw FROM fetched_content),
