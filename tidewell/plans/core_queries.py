@@ -438,7 +438,7 @@ def link_extract(t):
     return content.links(t("fetched_content"), "content_id")
 
 
-@query("SELECT item_id, url, title, author FROM (SELECT item_id, url, nullif(trim(title), '') AS title, nullif(trim(author), '') AS author FROM source_item WHERE url IS NOT NULL AND trim(url) <> '')")
+@query("SELECT item_id, url, title, author FROM (SELECT item_id, trim(url) AS url, nullif(trim(title), '') AS title, nullif(trim(author), '') AS author FROM source_item WHERE url IS NOT NULL AND trim(url) <> '')")
 def rss_round_trip(t):
     """Every item written as RSS, fifty to a feed, and parsed again."""
     cell = lambda c: F.replace(F.replace(F.replace(F.coalesce(F.trim(c), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))

@@ -173,7 +173,7 @@ def item_lookback_filter(t):
     return known.join(dated, "item_id", "left").where(F.col("utc").isNull() | (F.col("utc") >= F.expr(f"timestamp '{AS_OF}' - make_dt_interval(lookback_days)"))).select("item_id")
 
 
-@query("SELECT item_id, url, nullif(trim(title), '') AS title, nullif(trim(author), '') AS author, strftime(discovered_ts, '%Y-%m-%dT%H:%M:%SZ') AS published FROM source_item WHERE url IS NOT NULL AND trim(url) <> ''")
+@query("SELECT item_id, trim(url) AS url, nullif(trim(title), '') AS title, nullif(trim(author), '') AS author, strftime(discovered_ts, '%Y-%m-%dT%H:%M:%SZ') AS published FROM source_item WHERE url IS NOT NULL AND trim(url) <> ''")
 def atom_round_trip(t):
     """Every item written as Atom, fifty to a feed, and parsed again."""
     cell = lambda c: F.replace(F.replace(F.replace(F.replace(F.coalesce(F.trim(c), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
