@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import core_problems, core_queries, more_queries, record_queries, report_queries, state_queries
+from . import core_problems, core_queries, more_queries, pipelines, record_queries, report_queries, state_queries
 
-_MODULES = [core_problems, core_queries, more_queries, record_queries, report_queries, state_queries]
+_MODULES = [core_problems, core_queries, more_queries, pipelines, record_queries, report_queries, state_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
