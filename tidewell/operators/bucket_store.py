@@ -114,11 +114,17 @@ class Runs:
         return self._m["schema"] is not None
 
 
+def buckets_for(spark: SparkSession, rows: int, rows_each: int) -> int:
+    """How many buckets a store of so many rows needs: one per `rows_each`, and one for every core at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // rows_each))
+
+
 class BucketStore:
     """Keyed storage of whole rows under `path`; columns of any name may be stored, as a row is kept as one struct.
 
     key: the identifier's column. order: a column whose smallest value names the copy that stays. buckets: fixed for the
-    life of a store; about one per 128 MB of distinct rows, by default the session's shuffle partitions.
+    life of a store, so chosen for the size it is to reach (about one per 128 MB of distinct rows); by default the
+    session's shuffle partitions.
     """
 
     def __init__(self, spark: SparkSession, key: str, order: str, path: str | None = None, buckets: int | None = None):
@@ -162,13 +168,18 @@ class BucketStore:
         return self._merged(False) if len(self.runs()) != 1 else self.table.read().select("k", "o", "copies")
 
 
+#: Messages a bucket, about 128 MB of them.
+ROWS_EACH = 200_000
+
+
 def load(df: DataFrame, batch: str | None, key: str, order: str, open_batches: int = 2, path: str | None = None) -> BucketStore:
     """A compacted store of all batches: those before the last `open_batches` as one run, each later batch as its own.
 
     Loading history batch by batch would write a run of small files for each; one bulk run gives the same store.
     """
-    store = BucketStore(df.sparkSession, key, order, path)
-    last = df.agg(F.max(F.col(batch))).first()[0] if batch else None
+    facts = df.agg(F.count(F.lit(1)).alias("n"), (F.max(F.col(batch)) if batch else F.lit(None)).alias("last")).first()
+    last = facts["last"]
+    store = BucketStore(df.sparkSession, key, order, path, buckets_for(df.sparkSession, facts["n"], ROWS_EACH))
     if last is None:
         store.upsert(df, "all")
         return store
