@@ -70,6 +70,18 @@ def test_half_written_run_is_ignored(spark, tmp_path):
     assert store.runs() == ["one"] and {r.o for r in store.survivors().collect()} == {1, 3, 4}
 
 
+def test_a_batch_is_shuffled_once(spark):
+    store = BucketStore(spark, "event_id", "delivery_id", buckets=3)
+    store.upsert(spark.createDataFrame(ROWS, SCHEMA), "one")
+    tracker = spark.sparkContext._jsc.sc().statusStore()
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    before = tracker.jobsList(None).size()
+    store.upsert(spark.createDataFrame(ROWS, SCHEMA), "two")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == was
+    jobs = tracker.jobsList(None)
+    assert sum(jobs.apply(i).stageIds().size() > 2 for i in range(jobs.size() - before)) == 0
+
+
 def test_hot_identifier(spark):
     df = spark.range(30_000).select(F.col("id").alias("delivery_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("event_id"))
     assert surplus(df, "event_id", "delivery_id").count() == 9_999

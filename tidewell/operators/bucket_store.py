@@ -83,7 +83,13 @@ class Runs:
         self._save()  # no later attempt, of this store or of one opened anew, writes to the same place
         rows = rows if placed else rows.repartition(self.buckets, self.key)
         columns = [c for c in self.spark.table(self.name).columns if c != "run"]
-        rows.select(*columns, F.lit(part).alias("run")).write.insertInto(self.name)
+        # an aggregation by key that comes before then hashes to the buckets itself, and rows are shuffled once
+        setting, before = "spark.sql.shuffle.partitions", self.spark.conf.get("spark.sql.shuffle.partitions")
+        self.spark.conf.set(setting, self.buckets)
+        try:
+            rows.select(*columns, F.lit(part).alias("run")).write.insertInto(self.name)
+        finally:
+            self.spark.conf.set(setting, before)
         gone = [self._m["live"].pop(r) for r in instead if r in self._m["live"]]
         self._m["live"][run] = part
         self._save()
