@@ -1,6 +1,8 @@
 import itertools
 import random
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewell.llm import boilerplate, incremental, residue
@@ -114,3 +116,27 @@ def test_notices_that_recur_are_found(spark):
     df = spark.createDataFrame(rows + bad, SCHEMA)
     assert {x.content_id for x in residue.residue_rows(df).collect()} == {x[0] for x in bad}
     assert {(400, 3), (500, 1)} <= {tuple(x) for x in residue.residue_lines(df).collect()}
+
+
+HELD_OUT = [
+    "We're sorry, but this page isn't available right now.", "HTTP ERROR 451 Unavailable For Legal Reasons", "Your session has timed out. Please sign in to go on.", "This website needs scripts to work properly; allow them in your settings.",
+    "Gateway error: the upstream host did not answer.", "Hmm, that link does not lead anywhere.", "Security check in progress, wait a few seconds.", "You have been rate limited. Come back in an hour.", "Cookies must be enabled to view this page.",
+    "Forbidden: you do not have access to this resource.", "{{ post.headline }} by {{ post.author }}", "${summary_text}", "<%= article.body %>", "[Insert quote here]", "%LAST_NAME%, your order %ORDER_ID% is ready", "TODO: write the introduction",
+    "This is placeholder copy for the layout.", "Diese Seite ist leider nicht verfügbar.", "Cette page n'existe plus ou a été déplacée.", "Lo sentimos, la página no está disponible.", "抱歉,您要查看的页面暂时无法访问。", "请先开启JavaScript再浏览本页。",
+]
+PLAIN = [
+    "The minister said the budget would be revised in May.", "Enable teams to ship twice a week, the founder wrote.", "A page of the contract was not found until March, auditors said.", "Zwei Werke in Bayern liefern ab Juni.",
+    "La société a levé douze millions d'euros en avril.", "公司表示第二季度收入增长了百分之十二。", "Her title, body of work and date of birth were listed in the filing.", "Traffic on the site rose after the error was fixed, the company said.",
+]
+
+
+def test_wordings_that_are_not_in_the_list(spark):
+    table = Path("/root/testdata/sf0.01/fetched_content.parquet")
+    if not table.exists():
+        pytest.skip("the natural model needs ordinary texts")
+    model = residue.fit(spark.read.parquet(str(table)).select("content_id", "text"))
+    listed = residue.PLACEHOLDERS + residue.FILLER + residue.NOTICES
+    assert not any(x in listed for x in HELD_OUT)
+    share = lambda x: residue.line_shares([x], model)[0][0]
+    assert sum(share(x) >= residue.COVERAGE for x in HELD_OUT) >= 0.85 * len(HELD_OUT)
+    assert not any(share(x) >= residue.COVERAGE for x in PLAIN)
