@@ -118,6 +118,15 @@ def test_notices_that_recur_are_found(spark):
     assert {(400, 3), (500, 1)} <= {tuple(x) for x in residue.residue_lines(df).collect()}
 
 
+def test_natural_model_counts_all_rows(spark):
+    r = random.Random(3)
+    texts = [None, "", "\n \n", *(f"Report {i} of {r.choice('abcdefgh')}{i * 7919}\n\nCosts rose by {i} in March." for i in range(4000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "content_id long, text string").repartition(5)
+    lines = [residue._flat(x) for t in texts for x in (t or "").split("\n") if x.strip()]
+    wanted = residue._ratio(residue._residue_counts(), residue._counted(lines))
+    assert all((a == b).all() for a, b in zip(residue.fit(df), wanted, strict=True))
+
+
 HELD_OUT = [
     "We're sorry, but this page isn't available right now.", "HTTP ERROR 451 Unavailable For Legal Reasons", "Your session has timed out. Please sign in to go on.", "This website needs scripts to work properly; allow them in your settings.",
     "Gateway error: the upstream host did not answer.", "Hmm, that link does not lead anywhere.", "Security check in progress, wait a few seconds.", "You have been rate limited. Come back in an hour.", "Cookies must be enabled to view this page.",

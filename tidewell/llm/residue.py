@@ -13,8 +13,8 @@ is all its pages hold, come back as well and are none. All lines are scored, and
 a row with a body of its own.
 
 The residue models are fitted on the phrases below, written down as what such texts say in general, the natural model
-on about `FIT_ROWS` rows of the table itself. Scoring is
-a few array operations per character over whole texts; only the fit is on a sample.
+on all rows of the table itself: each task adds up its n-grams in tables of a fixed size, and the driver gets their sum,
+a number for each slot. Fitting and scoring are a few array operations per character over whole texts.
 """
 
 from __future__ import annotations
@@ -32,8 +32,6 @@ from ..session import settle
 from . import sitelines
 from .arrays import chunks, code_points, window_hashes
 
-#: Rows the natural model is fitted on, chosen by a hash of their id.
-FIT_ROWS = 3_000
 #: n-gram length, bits of its table, smoothing, whether of shapes (letters alike) instead of characters.
 ORDERS = ((3, 16, 2e-4, False), (5, 18, 4e-5, False), (4, 14, 2e-4, True))
 WINDOW, WINDOW_MEAN, COVERAGE = 12, 0.35, 0.68
@@ -232,23 +230,30 @@ def _furnished(rows: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     return sitelines.with_named(sited, furniture(sited) if lines is None else lines).select("row.content_id", "row.title", "row.text", places.alias("furniture"))
 
 
-def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
-    """The likelihood ratios of residue (the best of three models: placeholders, filler, notices) to natural text.
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's n-gram counts, by slots numbered through all orders; those it has."""
+    total = np.zeros(sum(1 << bits for _, bits, _, _ in ORDERS), np.int64)
+    for b in batches:
+        for _, texts in chunks([None] * b.num_rows, b.column("text").to_pylist()):
+            total += np.concatenate(_counted([_flat(x) for t in texts for x in t.split("\n") if x.strip()])).astype(np.int64)
+    held = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(total[held], pa.int64())], ["slot", "n"])
 
-    rows: content_id, text. The sample is of the rows whose id hashes below a limit that lets about `fit_rows` through.
-    """
-    n = rows.count()
-    some = rows if n <= fit_rows else rows.where(F.pmod(F.xxhash64("content_id"), F.lit(n)) < fit_rows)
-    return model_of([r.text or "" for r in some.select("text").collect()])  # of about fit_rows rows
 
+def fit(rows: DataFrame) -> Model:
+    """The likelihood ratios of residue (the best of three models: placeholders, filler, notices) to natural text.
 
-def model_of(texts: list[str]) -> Model:
-    """The ratios against the given texts. Residue among them hardly counts: each phrase stays below the smoothing."""
-    return _ratio(_residue_counts(), _counted([_flat(x) for t in texts for x in t.split("\n") if x.strip()]))
+    rows: text; all of them are counted, a null text as empty. Residue among them hardly counts: each phrase stays below
+    the smoothing.
+    """
+    summed = rows.select("text").mapInArrow(_summed, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # a row a slot at most, whatever the input
+    natural = np.zeros(sum(1 << bits for _, bits, _, _ in ORDERS), np.float64)
+    natural[summed.column("slot").to_numpy()] = summed.column("n").to_numpy()
+    return _ratio(_residue_counts(), np.split(natural, np.cumsum([1 << bits for _, bits, _, _ in ORDERS])[:-1]))
 
 
 def _scan(rows: DataFrame, model: Model | None, run_row: Callable[[int, str, np.ndarray, set[int]], list[tuple]], schema: str, lines: DataFrame | None = None) -> DataFrame:
-    model = fit(rows.select("content_id", "text")) if model is None else model
+    model = fit(rows) if model is None else model
     shared = rows.sparkSession.sparkContext.broadcast(model)  # two MB, whatever the input
     names = [x.split()[0] for x in schema.split(", ")]
     types = [{"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[x.split()[1]] for x in schema.split(", ")]
@@ -302,7 +307,7 @@ class Cleaner:
     def fit(cls, rows: DataFrame) -> Cleaner:
         """rows: content_id, url, text."""
         sited = rows.select(host_of(F.col("url")).alias("source"), "text")
-        return cls(fit(rows.select("content_id", "text")), settle(furniture(sited), "furniture"))
+        return cls(fit(rows), settle(furniture(sited), "furniture"))
 
     def save(self, path: str) -> None:
         spark = self.lines.sparkSession
