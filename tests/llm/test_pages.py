@@ -108,6 +108,15 @@ def test_copies_are_no_furniture(spark):
     assert got == {(0, x[0]) for x in same} | {(1, x[0]) for x in edited}
 
 
+def test_articles_are_cleaned_without_history(spark):
+    r = random.Random(10)
+    rows = [_sited(r, i, [PROSE.format(r.randint(1, 10**6)) for _ in range(4)]) for i in range(30)]
+    rows += [_sited(r, 100 + k, rows[k][4].split("\n")[2:-1]) for k in range(3)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    tasks = df.select(F.col("content_id").alias("id"), "url", F.when(F.col("content_id") < 100, 1).otherwise(2).alias("batch_no"))
+    assert {tuple(x) for x in incremental.repeated_tasks(tasks, df).collect()} == {(k, 100 + k) for k in range(3)}
+
+
 def test_notices_that_recur_are_found(spark):
     r = random.Random(9)
     rows = [_sited(r, i) for i in range(300)]

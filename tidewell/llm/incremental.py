@@ -261,7 +261,7 @@ def repeated_tasks(tasks: DataFrame, content: DataFrame, articles: DataFrame | N
     """id_a, id_b: each task of batch 1 or later that repeats an earlier task, with the first it repeats.
 
     tasks: id, url, batch_no (null counts as history); content: content_id, url, title, text; articles: content_id,
-    text, by default the content cleaned by what history holds. Null urls lead nowhere; a task without article can only
+    text, by default the content cleaned by what all of it holds. Null urls lead nowhere; a task without article can only
     repeat a page. batches: add and look up one batch after the other, as they would arrive; by default all later
     batches are one run, which gives the same rows, as a task is only held against smaller ids.
     """
@@ -269,10 +269,9 @@ def repeated_tasks(tasks: DataFrame, content: DataFrame, articles: DataFrame | N
     no = F.coalesce(F.col("batch_no"), F.lit(0))
     if articles is None:
         rows = content.select("content_id", "url", "title", "text")
-        own = settle(rows.select("content_id", "url").join(tasks.select("url", no.alias("no")), "url").groupBy("content_id").agg(F.min("no").alias("no")), "fetched")
-        few = own.count() <= BROADCAST_IDS
-        only = lambda ids: rows.join(F.broadcast(ids) if few else ids, "content_id", "left_semi")
-        articles = residue.Cleaner.fit(only(own.where("no < 1"))).real_text(only(own))
+        own = settle(rows.select("content_id", "url").join(tasks.select("url"), "url").select("content_id").distinct(), "fetched")
+        fetched = rows.join(F.broadcast(own) if own.count() <= BROADCAST_IDS else own, "content_id", "left_semi")
+        articles = residue.Cleaner.fit(rows).real_text(fetched)
     articles = settle(articles.select("content_id", "text"), "articles")
     history = History(spark, buckets=buckets_for(spark, tasks.count(), TASKS_EACH))
     history.add("history", tasks.where(no < 1), content, articles)
